@@ -4,4 +4,35 @@ from __future__ import annotations
 
 
 def statements() -> dict[str, str]:
-    return {}
+    from .oracle import CLEANED, ISO, MESSAGE_REASON, TELEMETRY, _imputed, _with
+
+    latest = """SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM {src}) r WHERE rn = 1"""
+    sql: dict[str, str] = {}
+    sql["snapshot_roundtrip"] = _with(TELEMETRY) + "SELECT * FROM telemetry"
+    sql["insert_overwrite"] = _with(TELEMETRY) + "SELECT * FROM telemetry"
+    sql["insert_append"] = _with(TELEMETRY) + "SELECT * FROM telemetry UNION ALL SELECT * FROM telemetry"
+    sql["upsert_latest"] = latest.format(src="events")
+    sql["upsert_merge"] = (
+        "WITH t AS (" + latest.format(src="(SELECT * FROM events WHERE event_id % 2 = 0)") + "),\n"
+        "s AS (" + latest.format(src="(SELECT * FROM events WHERE event_id % 2 = 1)") + ")\n"
+        """SELECT * FROM t WHERE NOT EXISTS (
+  SELECT 1 FROM s WHERE s.user_id IS NOT DISTINCT FROM t.user_id AND s.event_type IS NOT DISTINCT FROM t.event_type)
+UNION ALL SELECT * FROM s"""
+    )
+    sql["delete_by_key"] = """SELECT * FROM events e WHERE NOT EXISTS (
+  SELECT 1 FROM events d WHERE d.value > 100
+    AND d.user_id IS NOT DISTINCT FROM e.user_id AND d.event_type IS NOT DISTINCT FROM e.event_type)"""
+    sql["catalog_sync"] = _with(TELEMETRY) + "SELECT * FROM telemetry"
+    sql["clean_job_commits"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
+    sql["stream_ingest"] = _with(TELEMETRY) + f""", m AS (
+  SELECT 1 AS arrival, event_id, device_id, event_ts, temperature, pressure, humidity FROM telemetry
+  UNION ALL
+  SELECT 2, event_id, device_id, event_ts, temperature + 1000.0, pressure + 1000.0, humidity + 1000.0
+  FROM telemetry WHERE humidity > 101),
+good AS (SELECT * FROM m WHERE ({MESSAGE_REASON}) IS NULL),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id, event_ts ORDER BY arrival DESC) AS rn FROM good)
+SELECT device_id, {ISO} AS timestamp, temperature, pressure, humidity FROM ranked WHERE rn = 1"""
+    sql["change_refresh"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
+    return sql

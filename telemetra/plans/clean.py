@@ -55,3 +55,36 @@ def clean_telemetry(
     threshold = sparse_threshold(keys, readings, total_columns)
     out = drop_sparse_rows(out, readings, threshold, inclusive=inclusive)
     return impute_mean(out, readings, on_all_null=on_all_null)
+
+
+def run_clean_job(
+    table,
+    source: DataFrame,
+    order_by: Sequence[str | Column],
+    readings: Sequence[str] = READINGS,
+    inclusive: bool = False,
+    total_columns: int | None = None,
+    on_all_null: str = "error",
+    fused: bool = True,
+) -> str:
+    """C1 with a sink: clean ``source`` into the lake ``table``; returns the version.
+
+    ``fused=True`` (the default) writes the one fused plan once.  ``fused=False``
+    commits every step the way the original job does — load (K1), delete null
+    keys (K5), delete sparse rows (K5), upsert the imputed rows (K2) — each a
+    partition-scoped copy-on-write commit; the final table is the same.
+    """
+    from ..operators.quality import null_key_rows, sparse_rows
+
+    keys = table.keys
+    if fused:
+        cleaned = clean_telemetry(
+            source, keys, readings, order_by, inclusive, total_columns, on_all_null
+        )
+        return table.insert_overwrite(cleaned)  # already one row per key
+    table.overwrite(cast_readings(source, readings), order_by)
+    table.delete(null_key_rows(table.read(), keys))
+    threshold = sparse_threshold(keys, readings, total_columns)
+    table.delete(sparse_rows(table.read(), readings, threshold, inclusive=inclusive))
+    imputed = impute_mean(table.read(), readings, on_all_null=on_all_null)
+    return table.upsert(imputed, order_by)

@@ -1,7 +1,168 @@
-"""Driver query builders that write and read back (lake table, catalog, streams)."""
+"""Driver query builders that write and read back (lake table, catalog, streams).
+
+Everything they write goes below the shared work folder
+(``spark.checkpoint.dir``), each call in a fresh sub-folder.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .constants import FIXTURE_KEY, READINGS
+from .plans.clean import clean_telemetry, run_clean_job
+from .session import work_dir
+from .sinks.lake import LakeTable
+from .sources.fixtures import change_events, message_bodies
+from .sources.tables import read_snapshot
+from .streaming.changes import refresh_on_change
+from .streaming.ingest import latest_items, start_ingest
+
+EVENT_KEY = ("user_id", "event_type")
+EVENT_ORDER = ("ts", "event_id")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .registry import events
+
+    return events(spark, sf_dir)
+
+
+def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .registry import telemetry
+
+    return telemetry(spark, sf_dir)
+
+
+def _round(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(F.col(c), 6).alias(c) if c in READINGS else F.col(c) for c in df.columns])
+
+
+def telemetry_table(spark: SparkSession, tag: str) -> LakeTable:
+    return LakeTable(spark, work_dir(spark, tag), f"{tag}_{_uid()}", FIXTURE_KEY, ("device_id",))
+
+
+def events_table(spark: SparkSession, tag: str) -> LakeTable:
+    return LakeTable(spark, work_dir(spark, tag), f"{tag}_{_uid()}", EVENT_KEY, ("event_type",))
+
+
+def _uid() -> str:
+    import uuid
+
+    return uuid.uuid4().hex[:10]
+
+
+def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 + S5: partitioned write, read back from the snapshot folder with its schema."""
+    tele = _telemetry(spark, sf_dir)
+    table = telemetry_table(spark, "snapshot")
+    table.insert_overwrite(tele)
+    return read_snapshot(spark, table.snapshot_location(), tele.schema)
+
+
+def q_insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: a second overwrite replaces the first table content entirely."""
+    tele = _telemetry(spark, sf_dir)
+    table = telemetry_table(spark, "insert_ow")
+    table.insert_overwrite(tele.select(*[(F.col(c) + 1000).alias(c) if c in READINGS else F.col(c) for c in tele.columns]))
+    table.insert_overwrite(tele)
+    return table.read()
+
+
+def q_insert_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: insert, then append the same rows again (no key dedup)."""
+    tele = _telemetry(spark, sf_dir)
+    table = telemetry_table(spark, "insert_app")
+    table.insert_overwrite(tele)
+    table.insert_append(tele)
+    return table.read()
+
+
+def q_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + A3 + P11: initial load keeps the latest row per (user_id, event_type)."""
+    table = events_table(spark, "upsert_latest")
+    table.overwrite(_events(spark, sf_dir), EVENT_ORDER)
+    return table.read()
+
+
+def q_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: load the even events, upsert the odd ones."""
+    ev = _events(spark, sf_dir)
+    table = events_table(spark, "upsert_merge")
+    table.overwrite(ev.where(F.col("event_id") % 2 == 0), EVENT_ORDER)
+    table.upsert(ev.where(F.col("event_id") % 2 == 1), EVENT_ORDER)
+    return table.read()
+
+
+def q_delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: plain insert of all events, then delete the keys of rows with value > 100."""
+    ev = _events(spark, sf_dir)
+    table = events_table(spark, "delete_by_key")
+    table.insert_overwrite(ev)
+    table.delete(table.read().where(F.col("value") > 100))
+    return table.read()
+
+
+def q_catalog_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the lake table is published under a second catalog name and read by name."""
+    table = telemetry_table(spark, "catalog_sync")
+    table.insert_overwrite(_telemetry(spark, sf_dir))
+    published = table.register_as(f"{table.database}.published_{_uid()}")
+    return spark.table(published)
+
+
+def q_clean_job_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 through the lake table, step by step: load, two key deletes, imputed upsert."""
+    table = telemetry_table(spark, "clean_job")
+    run_clean_job(table, _telemetry(spark, sf_dir), ["event_id"], fused=False)
+    return _round(table.read())
+
+
+def resent_messages(tele: DataFrame) -> DataFrame:
+    """Second arrival: rows with humidity > 101 are sent again with new readings."""
+    return message_bodies(tele.where(F.col("humidity") > 101), reading_offset=1000.0)
+
+
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + K6 + C2: two arrivals of messages, two availableNow runs, last arrival wins."""
+    tele = _telemetry(spark, sf_dir)
+    root = work_dir(spark, "stream_ingest")
+    src, log, ckpt = f"{root}/source", f"{root}/log", f"{root}/checkpoint"
+    message_bodies(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-1")
+    start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
+    resent_messages(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-2")
+    start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
+    return latest_items(spark, log).select("device_id", "timestamp", *READINGS)
+
+
+def q_change_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events drained by a stream; a match reruns the clean into the lake table."""
+    from .registry import CHANGE_PATTERN
+
+    root = work_dir(spark, "change_refresh")
+    change_events(_events(spark, sf_dir)).select(F.col("body").alias("value")).write.text(f"{root}/changes")
+    table = telemetry_table(spark, "refreshed")
+
+    def job() -> DataFrame:
+        run_clean_job(table, _telemetry(spark, sf_dir), ["event_id"], fused=True)
+        return _round(table.read())
+
+    out = refresh_on_change(spark, f"{root}/changes", CHANGE_PATTERN, f"{root}/matches", f"{root}/checkpoint", job)
+    if out is None:  # nothing matched: no refresh ran, so nothing was (re)written
+        return _round(clean_telemetry(_telemetry(spark, sf_dir), order_by=["event_id"])).where(F.lit(False))
+    return out
+
 
 def builders() -> dict:
-    return {}
+    return {
+        "snapshot_roundtrip": q_snapshot_roundtrip,
+        "insert_overwrite": q_insert_overwrite,
+        "insert_append": q_insert_append,
+        "upsert_latest": q_upsert_latest,
+        "upsert_merge": q_upsert_merge,
+        "delete_by_key": q_delete_by_key,
+        "catalog_sync": q_catalog_sync,
+        "clean_job_commits": q_clean_job_commits,
+        "stream_ingest": q_stream_ingest,
+        "change_refresh": q_change_refresh,
+    }
