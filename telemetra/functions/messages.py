@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import READINGS
 from .attributes import drop_null_attrs
+from .evaluation import where_once
 
 REASON_MALFORMED = "malformed_json"
 REASON_NO_DEVICE = "missing_device"
@@ -67,9 +68,14 @@ def parse_messages(df: DataFrame, body_col: str = "body", keep: tuple[str, ...]
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, rejects) — a bad record never stops or loses the others."""
-    good = parsed.where(F.col("reason").isNull()).drop("reason")
-    rejects = parsed.where(F.col("reason").isNotNull())
+    """(good, rejects) — a bad record never stops or loses the others.
+
+    Each output still scans its input; to parse once for both, write the
+    parsed frame once (e.g. partitioned by ``reason``), as the stream ingest
+    does per micro-batch.
+    """
+    good = where_once(parsed, F.col("reason").isNull()).drop("reason")
+    rejects = where_once(parsed, F.col("reason").isNotNull())
     return good, rejects
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .constants import FIXTURE_KEY, READINGS
 from .functions.attributes import drop_null_attrs, flatten_attrs, long_attrs, tagged_long_attrs, to_item
 from .functions.casts import cast_readings
+from .functions.evaluation import where_once
 from .functions.messages import parse_messages, readings_columns, split_rejects
 from .functions.nulls import null_count
 from .functions.predicates import event_pattern, topic_is
@@ -200,7 +201,7 @@ def parsed_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_event_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     """change events matching a nested source/detail-type/ARN pattern."""
-    matched = parsed_change_events(spark, sf_dir).where(event_pattern(CHANGE_PATTERN))
+    matched = where_once(parsed_change_events(spark, sf_dir), event_pattern(CHANGE_PATTERN))
     return matched.select(
         "event_id",
         "source",

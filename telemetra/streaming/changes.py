@@ -15,6 +15,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.evaluation import where_once
 from ..functions.predicates import event_pattern
 from ..sources.fixtures import CHANGE_EVENT_SCHEMA
 
@@ -32,7 +33,7 @@ def drain_matches(
     checkpoint_dir: str,
 ) -> None:
     """Run the matcher over everything not yet seen, then stop."""
-    matched = change_stream(spark, source_dir).where(event_pattern(pattern))
+    matched = where_once(change_stream(spark, source_dir), event_pattern(pattern))
 
     def record(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{matches_dir}/batch_id={batch_id}")
