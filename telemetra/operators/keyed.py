@@ -22,34 +22,108 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).desc_nulls_last() if isinstance(o, str) else o for o in order_by]
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
-    """A3: one row per record key — the one ordered last by ``order_by``.
+def _zero(dtype: DataType) -> Column | None:
+    """A fixed non-NULL value of ``dtype`` (the stand-in for NULL in a key)."""
+    if isinstance(dtype, StringType):
+        return F.lit("")
+    if isinstance(dtype, BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    return None
 
-    ``order_by`` names columns in ascending "arrival" order (the last wins);
-    pass Column objects for custom directions.  Ties must be broken by the
-    caller (give a unique last column) for a deterministic result.
+
+def null_safe_key(df: DataFrame, keys: Sequence[str]) -> list[Column] | None:
+    """Key columns rewritten so that plain equality is NULL-safe.
+
+    Each key ``k`` becomes ``(coalesce(k, zero), isnull(k))`` — the same
+    expressions Spark derives for ``<=>`` join keys.  Partitioning a window or
+    an aggregate by them lets a later null-safe join on the same keys reuse
+    that partitioning instead of shuffling again.  None for key types without
+    a stand-in value (then ``eqNullSafe`` is used as is).
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out: list[Column] = []
+    for k in keys:
+        z = _zero(types[k])
+        if z is None:
+            return None
+        out += [F.coalesce(F.col(k), z), F.col(k).isNull()]
+    return out
+
+
+def _with_key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` plus materialised NULL-safe key columns ``__nk_i`` (or the raw keys)."""
+    norm = null_safe_key(df, keys)
+    if norm is None:
+        return df, list(keys)
+    names = [f"__nk_{i}" for i in range(len(norm))]
+    return df.select("*", *[c.alias(n) for c, n in zip(norm, names)]), names
+
+
+def _latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> tuple[DataFrame, list[str]]:
     if not order_by:
         raise ValueError("latest_per_key needs an order (no implicit precombine column)")
-    w = Window.partitionBy(*keys).orderBy(*_order_cols(order_by))
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    keyed, names = _with_key_columns(df, keys)
+    w = Window.partitionBy(*names).orderBy(*_order_cols(order_by))
+    out = keyed.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    return out, names
 
 
-def _renamed_keys(keys_df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    alias = [f"__key_{i}" for i in range(len(keys))]
-    return keys_df.select(*[F.col(k).alias(a) for k, a in zip(keys, alias)]), alias
-
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+    """A3: one row per record key — the one ordered last by ``order_by``.
 
-def key_match(left: DataFrame, right: DataFrame, keys: Sequence[str], right_alias: Sequence[str]) -> Column:
+    ``order_by`` names columns in ascending "arrival" order (the last wins);
+    Column objects are used verbatim as the window order (first row wins).
+    Ties must be broken by the caller (give a unique last column) for a
+    deterministic result.  NULL is a key value like any other.
+    """
+    out, names = _latest(df, keys, order_by)
+    return out.drop(*[n for n in names if n not in keys])
+
+
+def _key_side(rows: DataFrame, keys: Sequence[str], distinct: bool) -> tuple[DataFrame, list[str], bool]:
+    """Key frame with renamed (normalised when possible) key columns."""
+    norm = null_safe_key(rows, keys)
+    if norm is None:
+        cols = [F.col(k) for k in keys]
+    else:
+        cols = norm
+    alias = [f"__key_{i}" for i in range(len(cols))]
+    side = rows.select(*[c.alias(a) for c, a in zip(cols, alias)])
+    if distinct:
+        side = side.dropDuplicates()
+    return side, alias, norm is not None
+
+
+def _match(target: DataFrame, keys: Sequence[str], side: DataFrame, alias: Sequence[str], normalised: bool) -> Column:
+    if normalised:
+        left = null_safe_key(target, keys)
+        cond = None
+        for l_col, a in zip(left, alias):
+            term = l_col == side[a]
+            cond = term if cond is None else cond & term
+        return cond
     cond = None
-    for k, a in zip(keys, right_alias):
-        term = left[k].eqNullSafe(right[a])
+    for k, a in zip(keys, alias):
+        term = target[k].eqNullSafe(side[a])
         cond = term if cond is None else cond & term
     return cond
 
@@ -58,9 +132,11 @@ def delete_keys(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Data
     """K5: drop every target row whose key appears in ``rows`` (NULL matches NULL).
 
     Deletes go by key, not by row: a duplicate of a deleted key goes too.
+    The key side is de-duplicated map-side first; its partitioning is then
+    reused by the join.
     """
-    key_side, alias = _renamed_keys(rows.select(*keys).dropDuplicates(), keys)
-    return target.join(key_side, key_match(target, key_side, keys, alias), "left_anti")
+    side, alias, normalised = _key_side(rows, keys, distinct=True)
+    return target.join(side, _match(target, keys, side, alias, normalised), "left_anti")
 
 
 def upsert_rows(
@@ -73,8 +149,14 @@ def upsert_rows(
 
     The source is first reduced to its latest row per key (precombine).  No
     column-wise coalescing: attributes missing from the newer row are NULL.
+    The source is shuffled once (by its dedup window, on the NULL-safe key
+    columns) and the anti-join reuses that partitioning: only the target is
+    exchanged for the join.
     """
-    latest = latest_per_key(source, keys, order_by)
-    key_side, alias = _renamed_keys(latest.select(*keys), keys)
-    kept = target.join(key_side, key_match(target, key_side, keys, alias), "left_anti")
-    return kept.unionByName(latest, allowMissingColumns=True)
+    latest, names = _latest(source, keys, order_by)
+    alias = [f"__key_{i}" for i in range(len(names))]
+    side = latest.select(*[F.col(n).alias(a) for n, a in zip(names, alias)])
+    normalised = names != list(keys)
+    kept = target.join(side, _match(target, keys, side, alias, normalised), "left_anti")
+    rows = latest.drop(*[n for n in names if n not in keys])
+    return kept.unionByName(rows, allowMissingColumns=True)
