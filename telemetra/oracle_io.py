@@ -34,5 +34,6 @@ UNION ALL SELECT * FROM s"""
 good AS (SELECT * FROM m WHERE ({MESSAGE_REASON}) IS NULL),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id, event_ts ORDER BY arrival DESC) AS rn FROM good)
 SELECT device_id, {ISO} AS timestamp, temperature, pressure, humidity FROM ranked WHERE rn = 1"""
+    sql["stream_fold"] = sql["stream_ingest"]
     sql["change_refresh"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
     return sql

@@ -16,7 +16,7 @@ from .sinks.lake import LakeTable
 from .sources.fixtures import change_events, message_bodies
 from .sources.tables import read_snapshot
 from .streaming.changes import refresh_on_change
-from .streaming.ingest import latest_items, start_ingest
+from .streaming.ingest import fold_log, latest_items, start_ingest
 
 EVENT_KEY = ("user_id", "event_type")
 EVENT_ORDER = ("ts", "event_id")
@@ -135,6 +135,22 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_items(spark, log).select("device_id", "timestamp", *READINGS)
 
 
+def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 -> K2: the ingest log of both arrivals folded batch by batch into the lake table."""
+    tele = _telemetry(spark, sf_dir)
+    root = work_dir(spark, "stream_fold")
+    src, log, ckpt = f"{root}/source", f"{root}/log", f"{root}/checkpoint"
+    table = LakeTable(spark, f"{root}/lake", f"items_{_uid()}", ("device_id", "timestamp"), ("device_id",))
+    message_bodies(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-1")
+    start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
+    fold_log(table, spark, log)
+    done = spark.read.schema("batch_id bigint").parquet(log).agg(F.max("batch_id")).collect()[0][0]
+    resent_messages(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-2")
+    start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
+    fold_log(table, spark, log, after_batch=done)
+    return table.read().select("device_id", "timestamp", *READINGS)
+
+
 def q_change_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change events drained by a stream; a match reruns the clean into the lake table."""
     from .registry import CHANGE_PATTERN
@@ -164,5 +180,6 @@ def builders() -> dict:
         "catalog_sync": q_catalog_sync,
         "clean_job_commits": q_clean_job_commits,
         "stream_ingest": q_stream_ingest,
+        "stream_fold": q_stream_fold,
         "change_refresh": q_change_refresh,
     }
