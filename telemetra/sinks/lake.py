@@ -114,19 +114,37 @@ class LakeTable:
     def _spec(self, vals: tuple) -> str:
         return ", ".join(f"{c}={_sql_literal(v)}" for c, v in zip(self.partition_by, vals))
 
-    def _partitions_of(self, table: str) -> list[tuple]:
+    def _partitions_of(self, table: str) -> list[tuple[tuple, str]]:
+        """(values, escaped path spec) of every partition registered for ``table``."""
         out = []
         for (spec,) in self.spark.sql(f"SHOW PARTITIONS {table}").collect():
             vals = []
             for part in spec.split("/"):
                 _, _, raw = part.partition("=")
                 vals.append(None if raw == _NULL_PARTITION else urllib.parse.unquote(raw))
-            out.append(tuple(vals))
+            out.append((tuple(vals), spec))
         return out
 
-    def _location_of(self, table: str, vals: tuple) -> str:
-        rows = self.spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({self._spec(vals)})").collect()
-        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+    def _manifest_path(self, version: str) -> str:
+        return f"{self.path}/{version}/_partitions"
+
+    def _read_manifest(self, version: str) -> dict[tuple, str]:
+        """Partition values -> location of a committed version (one small read).
+
+        The manifest has one row per partition (metadata-sized), so a commit
+        needs no per-partition catalog round trip to find where untouched
+        partitions live.
+        """
+        cols = ", ".join(f"`{c}` string" for c in self.partition_by)
+        rows = self.spark.read.schema(f"{cols}, location string").parquet(self._manifest_path(version)).collect()
+        return {tuple(r[c] for c in self.partition_by): r["location"] for r in rows}
+
+    def _write_manifest(self, version: str, locations: dict[tuple, str]) -> None:
+        cols = ", ".join(f"`{c}` string" for c in self.partition_by)
+        rows = [(*[None if v is None else str(v) for v in vals], loc) for vals, loc in locations.items()]
+        self.spark.createDataFrame(rows, f"{cols}, location string").coalesce(1).write.parquet(
+            self._manifest_path(version)
+        )
 
     # --- commit ---------------------------------------------------------------------
 
@@ -153,14 +171,17 @@ class LakeTable:
         )
         if self.partition_by:
             self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            locations = {vals: f"{location}/{spec}" for vals, spec in self._partitions_of(table)}
             if touched is not None and previous is not None:
-                old = self._version_table(previous)
-                keep = [p for p in self._partitions_of(old) if p not in set(touched)]
+                touched_set = {tuple(None if v is None else str(v) for v in t) for t in touched}
+                keep = {
+                    vals: loc for vals, loc in self._read_manifest(previous).items() if vals not in touched_set
+                }
                 if keep:
-                    adds = " ".join(
-                        f"PARTITION ({self._spec(p)}) LOCATION '{self._location_of(old, p)}'" for p in keep
-                    )
+                    adds = " ".join(f"PARTITION ({self._spec(v)}) LOCATION '{loc}'" for v, loc in keep.items())
                     self.spark.sql(f"ALTER TABLE {table} ADD {adds}")
+                locations.update(keep)
+            self._write_manifest(version, locations)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ('{_CURRENT}'='{version}') AS SELECT * FROM {table}"
         )
