@@ -118,6 +118,15 @@ FROM cleaned"""
         for i, c, t in cols
     )
     sql["clean_telemetry"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
+    sql["clean_telemetry_dedup"] = _with(
+        TELEMETRY,
+        """latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id, event_ts ORDER BY event_id DESC) AS rn
+    FROM telemetry WHERE device_id IS NOT NULL AND event_ts IS NOT NULL) d
+  WHERE rn = 1)""",
+        f"""cleaned_latest AS (SELECT * FROM latest WHERE {NULLS} <= 2)""",
+    ) + _imputed("cleaned_latest")
     sql["clean_telemetry_inclusive"] = _with(
         TELEMETRY,
         f"""cleaned_inc AS (

@@ -47,7 +47,13 @@ def clean_telemetry(
     on_all_null: str = "error",
     dtype: str = "double",
 ) -> DataFrame:
-    """The cleaned table: one row per key, no NULL keys, no sparse rows, no gaps."""
+    """The cleaned table: no NULL keys, no sparse rows, no gaps.
+
+    ``order_by``: give it when ``df`` may hold several rows per key; the
+    latest row per key is kept first (one shuffle on the key).  Leave it out
+    for a source already keyed by ``keys`` (an item table or a lake table):
+    the plan then has no row shuffle at all.
+    """
     out = cast_readings(df, readings, dtype)
     out = drop_null_keys(out, keys)
     if order_by:

@@ -1,4 +1,4 @@
-from telemetra.registry import q_clean_telemetry, q_impute_mean, q_parse_body
+from telemetra.registry import q_clean_telemetry, q_clean_telemetry_dedup, q_impute_mean, q_parse_body
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +23,12 @@ def test_flagship_has_no_python_and_no_single_partition_window(spark):
     assert "EvalPython" not in plan and "ArrowEvalPython" not in plan
     assert _only_partials_gathered(plan)
     assert "BroadcastNestedLoopJoin" in plan  # the one-row means are broadcast
-    assert "WindowGroupLimit" in plan  # dedup pre-limits before its shuffle
+    assert "hashpartitioning" not in plan  # a keyed source needs no row shuffle
+
+
+def test_dedup_variant_pre_limits_before_its_shuffle(spark):
+    plan = _plan(q_clean_telemetry_dedup(spark, SF))
+    assert "WindowGroupLimit" in plan and _only_partials_gathered(plan)
 
 
 def test_flagship_scan_prunes_columns(spark):
