@@ -44,12 +44,42 @@ def log_schema(readings: Sequence[str] = READINGS) -> str:
     )
 
 
-def message_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming bodies with their file-level arrival metadata."""
-    reader = spark.readStream.format("text")
+def message_stream(
+    spark: SparkSession,
+    source: str,
+    max_files_per_trigger: int | None = None,
+    source_format: str = "text",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Streaming message bodies with their arrival position.
+
+    ``source_format="text"``: ``source`` is a folder (or glob) of JSON-lines
+    files; arrival = (file time, file name, block start) and the line
+    position is added per micro-batch.  ``source_format="kafka"``: ``source``
+    is the topic (the connector package must be on the classpath; it is not
+    in this image); arrival = (broker timestamp, topic-partition, partition,
+    offset), so per-partition order is the broker's.
+    """
+    if source_format == "kafka":
+        reader = spark.readStream.format("kafka").option("subscribe", source)
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        if max_files_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_files_per_trigger))
+        raw = reader.load()
+        return raw.select(
+            F.col("value").cast("string").alias("body"),
+            F.col("timestamp").alias("_arrival_time"),
+            F.concat_ws("-", F.col("topic"), F.col("partition").cast("string")).alias("_arrival_file"),
+            F.col("partition").cast("bigint").alias("_arrival_block"),
+            F.col("offset").alias("_arrival_pos"),
+        )
+    reader = spark.readStream.format(source_format)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.load(source_dir)
+    raw = reader.load(source)
     return raw.select(
         F.col("value").alias("body"),
         F.col("_metadata.file_modification_time").alias("_arrival_time"),
@@ -65,7 +95,9 @@ def batch_rows(batch: DataFrame, batch_id: int, readings: Sequence[str] = READIN
     between), so it increases with the line order inside each file block; it
     is only ever compared within one (file, block).
     """
-    with_pos = batch.withColumn("_arrival_pos", F.monotonically_increasing_id())
+    with_pos = batch
+    if "_arrival_pos" not in batch.columns:
+        with_pos = batch.withColumn("_arrival_pos", F.monotonically_increasing_id())
     parsed = parse_messages(with_pos, keep=ARRIVAL)
     good = F.col("reason").isNull()
     return parsed.select(
@@ -86,15 +118,17 @@ def write_batch(batch: DataFrame, batch_id: int, log_dir: str, readings: Sequenc
 
 def start_ingest(
     spark: SparkSession,
-    source_dir: str,
+    source: str,
     log_dir: str,
     checkpoint_dir: str,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    source_format: str = "text",
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the ingest; ``available_now`` drains what is there and stops."""
-    stream = message_stream(spark, source_dir, max_files_per_trigger)
+    stream = message_stream(spark, source, max_files_per_trigger, source_format, options)
     writer = (
         stream.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, log_dir))
         .option("checkpointLocation", checkpoint_dir)
