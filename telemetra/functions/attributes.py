@@ -22,7 +22,6 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     ShortType,
-    StructType,
 )
 
 TAG_STRING, TAG_NUMBER, TAG_BOOL = "S", "N", "BOOL"
@@ -133,7 +132,3 @@ def tagged_long_attrs(df: DataFrame, id_cols: Sequence[str], json_object: Column
         *id_cols, "attribute", tag_of_variant(F.col("v")).alias("tag"), stringify_variant(F.col("v")).alias("value")
     )
     return tagged.where(F.col("tag").isNotNull())
-
-
-def item_schema_fields(schema: StructType) -> dict[str, str]:
-    return {f.name: f.dataType.simpleString() for f in schema.fields}

@@ -10,7 +10,6 @@ engines).
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -299,7 +298,3 @@ def builders() -> dict[str, Builder]:
     }
     out.update(registry_io.builders())
     return out
-
-
-def sanitize(name: str) -> str:
-    return re.sub(r"\W", "_", name)
