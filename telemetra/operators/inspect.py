@@ -4,27 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import ITEM_SCAN_CAP
 
 
-def capped_scan(df: DataFrame, order_by: Sequence[str | Column], n: int = ITEM_SCAN_CAP) -> DataFrame:
+def capped_scan(
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    n: int = ITEM_SCAN_CAP,
+    groups: int | None = 64,
+) -> DataFrame:
     """At most ``n`` rows, the first ``n`` by ``order_by``.
 
     The cap is the feature (one scan page).  Without an order a capped read is
-    not reproducible, so the order is required; Spark plans this as a
-    TakeOrderedAndProject (per-task top-n, then one merge of n rows per task).
+    not reproducible, so the order is required.
+
+    A plain ``orderBy().limit(n)`` merges the top ``n`` of *every* scan task in
+    one task (n x tasks rows).  With ``groups`` set, the scan tasks are first
+    reduced in ``groups`` buckets: a window top-n per bucket (pre-limited on
+    the map side, so each task ships at most ``n`` rows) leaves at most
+    ``groups x n`` rows for the final ordered merge.  The result is the exact
+    global top ``n``: every global top-n row is in its bucket's top n.
+    The map-side pre-limit is Spark's partial window-group limit, which it
+    applies up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows per
+    group; above that the bucketed form would shuffle every row, so the
+    one-level plan is used (its merge keeps a bounded heap of ``n`` rows).
+    ``groups=None`` always plans the one-level TakeOrderedAndProject.
     """
     if not order_by:
         raise ValueError("a capped scan needs an explicit order")
-    return df.orderBy(*order_by).limit(n)
+    order = [F.col(o) if isinstance(o, str) else o for o in order_by]
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if groups and n <= limit:
+        bucket = F.pmod(F.spark_partition_id(), F.lit(groups))
+        w = Window.partitionBy("__bucket").orderBy(*order)
+        df = (
+            df.withColumn("__bucket", bucket)
+            .withColumn("__rn", F.row_number().over(w))
+            .where(F.col("__rn") <= n)
+            .drop("__bucket", "__rn")
+        )
+    return df.orderBy(*order).limit(n)
 
 
 def preview(df: DataFrame, order_by: Sequence[str | Column], n: int = 5) -> DataFrame:
     """L2: the first rows, without first pulling the whole table to the driver."""
-    return capped_scan(df, order_by, n)
+    return capped_scan(df, order_by, n, groups=None)
 
 
 def schema_report(df: DataFrame) -> DataFrame:

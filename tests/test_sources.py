@@ -48,6 +48,15 @@ def test_capped_scan_needs_an_order(spark):
     assert [r["id"] for r in capped_scan(df, [F.col("id").desc()], 3).collect()] == [99, 98, 97]
 
 
+def test_two_level_capped_scan_is_exact(spark):
+    df = spark.range(0, 5000, numPartitions=16).select(((F.col("id") * 7919) % 5000).alias("k"))
+    two = [r["k"] for r in capped_scan(df, ["k"], 50, groups=4).collect()]
+    one = [r["k"] for r in capped_scan(df, ["k"], 50, groups=None).collect()]
+    assert two == one == list(range(50))
+    plan = capped_scan(df, ["k"], 50, groups=4)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_schema_report_counts_nulls(spark):
     df = spark.createDataFrame([(1, None), (None, "x"), (None, None)], "a int, b string")
     got = [tuple(r) for r in schema_report(df).orderBy("position").collect()]
