@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def statements() -> dict[str, str]:
-    from .oracle import CLEANED, ISO, MESSAGE_REASON, TELEMETRY, _imputed, _with
+    from .oracle import CLEANED, ISO, MESSAGE_REASON, NULLS, TELEMETRY, _imputed, _with
 
     latest = """SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
@@ -26,6 +26,14 @@ UNION ALL SELECT * FROM s"""
     AND d.user_id IS NOT DISTINCT FROM e.user_id AND d.event_type IS NOT DISTINCT FROM e.event_type)"""
     sql["catalog_sync"] = _with(TELEMETRY) + "SELECT * FROM telemetry"
     sql["clean_job_commits"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
+    kept = f"""kept AS (
+  SELECT * FROM telemetry
+  WHERE device_id IS NOT NULL AND event_ts IS NOT NULL AND {NULLS} < 2)"""
+    sql["clean_job_notebook"] = _with(TELEMETRY, kept) + (
+        "SELECT event_id, device_id, event_ts, ROUND(temperature, 6) AS temperature, "
+        "ROUND(pressure, 6) AS pressure, ROUND(humidity, 6) AS humidity FROM kept\nUNION ALL\n"
+        + _imputed("kept")
+    )
     sql["stream_ingest"] = _with(TELEMETRY) + f""", m AS (
   SELECT 1 AS arrival, event_id, device_id, event_ts, temperature, pressure, humidity FROM telemetry
   UNION ALL

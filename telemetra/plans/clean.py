@@ -72,17 +72,31 @@ def run_clean_job(
     total_columns: int | None = None,
     on_all_null: str = "error",
     fused: bool = True,
+    reinsert: bool = False,
 ) -> str:
     """C1 with a sink: clean ``source`` into the lake ``table``; returns the version.
 
     ``fused=True`` (the default) writes the one fused plan once.  ``fused=False``
-    commits every step the way the original job does — load (K1), delete null
+    commits every step the way the deployed job does — load (K1), delete null
     keys (K5), delete sparse rows (K5), upsert the imputed rows (K2) — each a
     partition-scoped copy-on-write commit; the final table is the same.
+
+    ``reinsert=True`` (implies step-by-step) is the notebook's chain: a plain
+    insert load (K3, no dedup), the two key deletes, then the imputed rows
+    are *appended* (K4) instead of upserted, so every surviving key ends up
+    twice — once as stored, once imputed.  Kept for parity; the upsert is the
+    canonical form.
     """
     from ..operators.quality import null_key_rows, sparse_rows
 
     keys = table.keys
+    if reinsert:
+        table.insert_overwrite(cast_readings(source, readings))
+        table.delete(null_key_rows(table.read(), keys))
+        threshold = sparse_threshold(keys, readings, total_columns)
+        table.delete(sparse_rows(table.read(), readings, threshold, inclusive=inclusive))
+        imputed = impute_mean(table.read(), readings, on_all_null=on_all_null)
+        return table.insert_append(imputed)
     if fused:
         cleaned = clean_telemetry(
             source, keys, readings, order_by, inclusive, total_columns, on_all_null

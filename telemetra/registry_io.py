@@ -118,6 +118,13 @@ def q_clean_job_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(table.read())
 
 
+def q_clean_job_notebook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 as the notebook runs it: insert load, inclusive sparse delete, imputed rows appended."""
+    table = telemetry_table(spark, "clean_notebook")
+    run_clean_job(table, _telemetry(spark, sf_dir), ["event_id"], inclusive=True, reinsert=True)
+    return _round(table.read())
+
+
 def resent_messages(tele: DataFrame) -> DataFrame:
     """Second arrival: rows with humidity > 101 are sent again with new readings."""
     return message_bodies(tele.where(F.col("humidity") > 101), reading_offset=1000.0)
@@ -179,6 +186,7 @@ def builders() -> dict:
         "delete_by_key": q_delete_by_key,
         "catalog_sync": q_catalog_sync,
         "clean_job_commits": q_clean_job_commits,
+        "clean_job_notebook": q_clean_job_notebook,
         "stream_ingest": q_stream_ingest,
         "stream_fold": q_stream_fold,
         "change_refresh": q_change_refresh,

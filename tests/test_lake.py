@@ -74,3 +74,15 @@ def test_stepwise_commits_equal_the_fused_plan(spark, workdir):
 
     assert rows(t.read()) == rows(fused)
     assert len(rows(fused)) == 950
+
+
+def test_clean_leaves_no_null_readings_and_keeps_present_values(spark):
+    from telemetra.registry import telemetry
+
+    tele = telemetry(spark, "/root/testdata/sf0.001")
+    out = clean_telemetry(tele)
+    readings = ["temperature", "pressure", "humidity"]
+    assert out.where(" OR ".join(f"{r} IS NULL" for r in readings)).count() == 0
+    joined = tele.alias("a").join(out.alias("b"), "event_id")
+    for r in readings:
+        assert joined.where(F.col(f"a.{r}").isNotNull() & (F.col(f"a.{r}") != F.col(f"b.{r}"))).count() == 0
