@@ -14,7 +14,6 @@ from .plans.clean import clean_telemetry, run_clean_job
 from .session import work_dir
 from .sinks.lake import LakeTable
 from .sources.fixtures import change_events, message_bodies
-from .sources.tables import read_snapshot
 from .streaming.changes import refresh_on_change
 from .streaming.ingest import fold_log, latest_items, start_ingest
 
@@ -57,7 +56,7 @@ def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tele = _telemetry(spark, sf_dir)
     table = telemetry_table(spark, "snapshot")
     table.insert_overwrite(tele)
-    return read_snapshot(spark, table.snapshot_location(), tele.schema)
+    return table.read_snapshot()
 
 
 def q_insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,20 @@
 
 Layout and commit protocol
 --------------------------
-* Data: ``<path>/<version>/<col>=<value>/part-*.parquet`` (hive-style, K7).
+* Data: ``<path>/<version>/<col>=<value>/_commit=<version>/part-*.parquet``
+  (hive-style, K7).  The last level, ``_commit``, names the commit that wrote
+  the files; it is a partition column of the catalog tables, hidden by the view.
 * Every commit writes a **new version folder** — a table is never rewritten in
   place, because a plan that reads a folder cannot safely overwrite it.
-* Copy-on-write per partition: a commit rewrites only the partitions its input
-  touches.  The new version is registered as its own external catalog table
-  ``<db>.<name>__<version>``; touched partitions are found in the new folder
-  (``RECOVER PARTITIONS``) and every untouched partition is attached at its
-  old location (``ADD PARTITION ... LOCATION``), so its files are not copied.
+* The new version is registered as its own external catalog table
+  ``<db>.<name>__<version>``; its new partitions are found in the new folder
+  (``RECOVER PARTITIONS``) and every partition it keeps is attached at its old
+  location (``ADD PARTITION ... LOCATION``), so kept files are never copied.
+* Appends (K4) keep every existing (partition, commit) folder and only add
+  their own: the cost is the size of the new rows.  Upserts and deletes are
+  copy-on-write per partition: the partitions their input touches are
+  rewritten (which also compacts the commit folders appends left there), the
+  others are kept.
 * The view ``<db>.<name>`` is then switched to the new version (K8).  Readers
   that resolved the view before the switch keep reading the old, complete
   version; new readers see the new one.  Old version folders stay until
@@ -35,6 +41,12 @@ from ..operators.keyed import delete_keys, latest_per_key, upsert_rows
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _CURRENT = "telemetra.current"
+_MANIFEST = "telemetra.manifest"
+COMMIT_COL = "_commit"
+#: Above this many partitions a version records its partition locations in a
+#: small parquet manifest (one read per commit instead of one catalog lookup
+#: per partition).
+MANIFEST_MIN_PARTITIONS = 64
 
 
 def _sql_literal(v) -> str:
@@ -74,13 +86,16 @@ class LakeTable:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.view)
 
-    def current_version(self) -> str | None:
+    def _property(self, key: str) -> str | None:
         if not self.exists():
             return None
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.view} ('{_CURRENT}')").collect()
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.view} ('{key}')").collect()
         value = rows[0]["value"] if rows else None
         return None if value is None or value.startswith("Table ") else value
 
+    def current_version(self) -> str | None:
+        return self._property(_CURRENT)
+
     def read(self) -> DataFrame:
         """Current snapshot (S5 through the catalog; partition pruning applies)."""
         return self.spark.table(self.view)
@@ -111,8 +126,13 @@ class LakeTable:
             cond = term if cond is None else cond | term
         return cond
 
+    @property
+    def _levels(self) -> list[str]:
+        """Partition columns of the catalog tables: the user's, then the commit."""
+        return [*self.partition_by, COMMIT_COL]
+
     def _spec(self, vals: tuple) -> str:
-        return ", ".join(f"{c}={_sql_literal(v)}" for c, v in zip(self.partition_by, vals))
+        return ", ".join(f"{c}={_sql_literal(v)}" for c, v in zip(self._levels, vals))
 
     def _partitions_of(self, table: str) -> list[tuple[tuple, str]]:
         """(values, escaped path spec) of every partition registered for ``table``."""
@@ -125,6 +145,25 @@ class LakeTable:
             out.append((tuple(vals), spec))
         return out
 
+    def _location_of(self, table: str, vals: tuple) -> str:
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({self._spec(vals)})").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+    def _old_locations(self, version: str) -> dict[tuple, str]:
+        """Partition values -> location in committed ``version``.
+
+        From this object's own last commit when it made ``version``; else from
+        the version's manifest (tables with many partitions); else one catalog
+        lookup per partition (few partitions, no Spark job).
+        """
+        cached = getattr(self, "_locations", None)
+        if cached is not None and cached[0] == version:
+            return dict(cached[1])
+        if self._property(_MANIFEST) == "1":
+            return self._read_manifest(version)
+        table = self._version_table(version)
+        return {vals: self._location_of(table, vals) for vals, _ in self._partitions_of(table)}
+
     def _manifest_path(self, version: str) -> str:
         return f"{self.path}/{version}/_partitions"
 
@@ -135,12 +174,12 @@ class LakeTable:
         needs no per-partition catalog round trip to find where untouched
         partitions live.
         """
-        cols = ", ".join(f"`{c}` string" for c in self.partition_by)
+        cols = ", ".join(f"`{c}` string" for c in self._levels)
         rows = self.spark.read.schema(f"{cols}, location string").parquet(self._manifest_path(version)).collect()
-        return {tuple(r[c] for c in self.partition_by): r["location"] for r in rows}
+        return {tuple(r[c] for c in self._levels): r["location"] for r in rows}
 
     def _write_manifest(self, version: str, locations: dict[tuple, str]) -> None:
-        cols = ", ".join(f"`{c}` string" for c in self.partition_by)
+        cols = ", ".join(f"`{c}` string" for c in self._levels)
         rows = [(*[None if v is None else str(v) for v in vals], loc) for vals, loc in locations.items()]
         self.spark.createDataFrame(rows, f"{cols}, location string").coalesce(1).write.parquet(
             self._manifest_path(version)
@@ -148,45 +187,69 @@ class LakeTable:
 
     # --- commit ---------------------------------------------------------------------
 
+    def _columns(self, schema: StructType) -> list:
+        fields = [f for f in schema.fields if f.name not in self.partition_by and f.name != COMMIT_COL]
+        return fields + [schema[c] for c in self.partition_by]
+
     def _ddl(self, schema: StructType) -> str:
-        fields = [f for f in schema.fields if f.name not in self.partition_by]
-        fields += [schema[c] for c in self.partition_by]
-        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in self._columns(schema)]
+        return ", ".join(cols + [f"`{COMMIT_COL}` string"])
+
+    def _commit(self, rows: DataFrame, touched: list[tuple] | None, append: bool = False) -> str:
+        """Write ``rows`` as a new version.
 
-    def _commit(self, rows: DataFrame, touched: list[tuple] | None) -> str:
-        """Write ``rows`` as the content of the ``touched`` partitions (None: all)."""
+        ``append``: every existing partition is kept and ``rows`` are added.
+        Otherwise ``rows`` are the full content of the ``touched`` partitions
+        (``None``: of the whole table) and the other partitions are kept.
+        """
         version = f"v{time.time_ns()}"
         location = f"{self.path}/{version}"
-        writer = rows.write.mode("errorifexists")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(location)
+        out = rows.withColumn(COMMIT_COL, F.lit(version))
+        out.write.mode("errorifexists").partitionBy(*self._levels).parquet(location)
 
         previous = self.current_version()
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.path}/_catalog'")
         table = self._version_table(version)
-        part = f" PARTITIONED BY ({', '.join(self.partition_by)})" if self.partition_by else ""
         self.spark.sql(
-            f"CREATE TABLE {table} ({self._ddl(rows.schema)}) USING parquet{part} LOCATION '{location}'"
+            f"CREATE TABLE {table} ({self._ddl(rows.schema)}) USING parquet "
+            f"PARTITIONED BY ({', '.join(self._levels)}) LOCATION '{location}'"
         )
-        if self.partition_by:
-            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-            locations = {vals: f"{location}/{spec}" for vals, spec in self._partitions_of(table)}
-            if touched is not None and previous is not None:
+        self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        locations = {vals: f"{location}/{spec}" for vals, spec in self._partitions_of(table)}
+        if previous is not None and (append or touched is not None):
+            old = self._old_locations(previous)
+            if append:
+                keep = old
+            else:
                 touched_set = {tuple(None if v is None else str(v) for v in t) for t in touched}
-                keep = {
-                    vals: loc for vals, loc in self._read_manifest(previous).items() if vals not in touched_set
-                }
-                if keep:
-                    adds = " ".join(f"PARTITION ({self._spec(v)}) LOCATION '{loc}'" for v, loc in keep.items())
-                    self.spark.sql(f"ALTER TABLE {table} ADD {adds}")
-                locations.update(keep)
+                keep = {vals: loc for vals, loc in old.items() if vals[:-1] not in touched_set}
+            if keep:
+                adds = " ".join(f"PARTITION ({self._spec(v)}) LOCATION '{loc}'" for v, loc in keep.items())
+                self.spark.sql(f"ALTER TABLE {table} ADD {adds}")
+            locations.update(keep)
+        with_manifest = len(locations) > MANIFEST_MIN_PARTITIONS
+        if with_manifest:
             self._write_manifest(version, locations)
+        self._locations = (version, locations)
+        visible = ", ".join(f"`{f.name}`" for f in self._columns(rows.schema))
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ('{_CURRENT}'='{version}') AS SELECT * FROM {table}"
+            f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES "
+            f"('{_CURRENT}'='{version}', '{_MANIFEST}'='{int(with_manifest)}') AS SELECT {visible} FROM {table}"
         )
         return version
 
+    def read_snapshot(self, version: str | None = None) -> DataFrame:
+        """The files one version wrote, read from its folder with the table schema.
+
+        The folder of a full rewrite (``overwrite`` / ``insert_overwrite``) is a
+        complete snapshot; later versions also reference older folders, which
+        :meth:`read` resolves through the catalog.
+        """
+        from ..sources.tables import read_snapshot
+
+        schema = StructType(self._columns(self.read().schema))
+        return read_snapshot(self.spark, self.snapshot_location(version), schema).drop(COMMIT_COL)
+
     def _scoped(self, incoming: DataFrame) -> tuple[DataFrame, list[tuple] | None]:
         """(current rows of the partitions ``incoming`` touches, touched list or None)."""
         current = self.read()
@@ -209,8 +272,9 @@ class LakeTable:
         """K4: add ``df``'s rows as they are (duplicates of existing keys included)."""
         if not self.exists():
             return self._commit(df, None)
-        current, touched = self._scoped(df)
-        return self._commit(current.unionByName(df, allowMissingColumns=True), touched)
+        # existing rows and files are kept as they are; only ``df`` is written
+        aligned = df.select(*[F.col(f.name) for f in self._columns(self.read().schema)])
+        return self._commit(aligned, None, append=True)
 
     def upsert(self, df: DataFrame, order_by: Sequence[str | Column]) -> str:
         """K2: key match -> whole row replaced by the latest source row, else insert."""
@@ -227,8 +291,9 @@ class LakeTable:
 
     def register_as(self, qualified_name: str) -> str:
         """K8: expose the current version under another catalog name as well."""
-        version = self.current_version()
-        self.spark.sql(f"CREATE OR REPLACE VIEW {qualified_name} AS SELECT * FROM {self._version_table(version)}")
+        table = self._version_table(self.current_version())
+        visible = ", ".join(f"`{f.name}`" for f in self._columns(self.read().schema))
+        self.spark.sql(f"CREATE OR REPLACE VIEW {qualified_name} AS SELECT {visible} FROM {table}")
         return qualified_name
 
     def vacuum(self) -> list[str]:

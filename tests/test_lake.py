@@ -2,7 +2,6 @@ from pyspark.sql import functions as F
 
 from telemetra.plans.clean import clean_telemetry, run_clean_job
 from telemetra.sinks.lake import LakeTable
-from telemetra.sources.tables import read_snapshot
 
 SCHEMA = "device_id string, ts string, seq int, v double"
 
@@ -14,7 +13,7 @@ def _table(spark, workdir, name="t"):
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.select("device_id", "ts", "seq", "v").collect())
+    return sorted((tuple(r) for r in df.select("device_id", "ts", "seq", "v").collect()), key=lambda r: (r[0] is not None, r))
 
 
 def test_partition_text_stays_text(spark, workdir):
@@ -22,7 +21,8 @@ def test_partition_text_stays_text(spark, workdir):
     df = spark.createDataFrame([("001", "a", 1, 1.0), (None, "b", 1, 2.0)], SCHEMA)
     t.insert_overwrite(df)
     assert sorted(r["device_id"] or "" for r in t.read().collect()) == ["", "001"]
-    snap = read_snapshot(spark, t.snapshot_location(), df.schema)
+    snap = t.read_snapshot()
+    assert snap.columns == ["ts", "seq", "v", "device_id"]
     assert sorted(r["device_id"] or "" for r in snap.collect()) == ["", "001"]
 
 
@@ -43,9 +43,24 @@ def test_delete_can_empty_a_partition(spark, workdir):
     t.insert_overwrite(spark.createDataFrame([(None, "1", 1, 1.0), ("a", "1", 1, 2.0), ("a", None, 1, 3.0)], SCHEMA))
     t.delete(t.read().where(F.col("device_id").isNull() | F.col("ts").isNull()))
     assert _rows(t.read()) == [("a", "1", 1, 2.0)]
-    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {t.database}.{t.name}__{t.current_version()}").collect()] == [
-        "device_id=a"
-    ]
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {t.database}.{t.name}__{t.current_version()}").collect()]
+    assert [p.split("/")[0] for p in parts] == ["device_id=a"]
+
+
+def test_append_writes_only_the_new_rows(spark, workdir):
+    t = _table(spark, workdir)
+    t.insert_overwrite(spark.createDataFrame([("a", "1", 1, 1.0), ("b", "1", 1, 2.0)], SCHEMA))
+    first = t.current_version()
+    t.insert_append(spark.createDataFrame([("a", "2", 1, 3.0)], SCHEMA))
+    files = {r["f"] for r in t.read().select(F.input_file_name().alias("f")).collect()}
+    assert sum(f"/{first}/" in f for f in files) == 2  # both original files still read in place
+    assert sum(f"/{t.current_version()}/" in f for f in files) == 1
+    assert _rows(t.read()) == [("a", "1", 1, 1.0), ("a", "2", 1, 3.0), ("b", "1", 1, 2.0)]
+    # an upsert of partition a rewrites (and compacts) it; b stays where it was
+    t.upsert(spark.createDataFrame([("a", "1", 2, 9.0)], SCHEMA), ["seq"])
+    files_a = {r["f"] for r in t.read().where("device_id = 'a'").select(F.input_file_name().alias("f")).collect()}
+    assert all(f"/{t.current_version()}/" in f for f in files_a)
+    assert _rows(t.read()) == [("a", "1", 2, 9.0), ("a", "2", 1, 3.0), ("b", "1", 1, 2.0)]
 
 
 def test_append_keeps_duplicates_and_overwrite_dedups(spark, workdir):
@@ -86,3 +101,20 @@ def test_clean_leaves_no_null_readings_and_keeps_present_values(spark):
     joined = tele.alias("a").join(out.alias("b"), "event_id")
     for r in readings:
         assert joined.where(F.col(f"a.{r}").isNotNull() & (F.col(f"a.{r}") != F.col(f"b.{r}"))).count() == 0
+
+
+def test_partition_locations_survive_a_fresh_table_object(spark, workdir, monkeypatch):
+    import telemetra.sinks.lake as lake
+
+    for threshold in (64, 1):  # catalog lookups, then the manifest
+        monkeypatch.setattr(lake, "MANIFEST_MIN_PARTITIONS", threshold)
+        t = _table(spark, f"{workdir}/{threshold}")
+        t.insert_overwrite(spark.createDataFrame([("a", "1", 1, 1.0), ("b", "1", 1, 2.0), (None, "1", 1, 3.0)], SCHEMA))
+        fresh = LakeTable(spark, t.path, t.name, t.keys, t.partition_by)
+        fresh.upsert(spark.createDataFrame([("a", "1", 2, 5.0)], SCHEMA), ["seq"])
+        assert _rows(fresh.read()) == [(None, "1", 1, 3.0), ("a", "1", 2, 5.0), ("b", "1", 1, 2.0)]
+        names = {
+            r[0].split("/")[0]
+            for r in spark.sql(f"SHOW PARTITIONS {t.database}.{t.name}__{fresh.current_version()}").collect()
+        }
+        assert names == {"device_id=a", "device_id=b", "device_id=__HIVE_DEFAULT_PARTITION__"}
