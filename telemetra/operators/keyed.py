@@ -69,33 +69,49 @@ def null_safe_key(df: DataFrame, keys: Sequence[str]) -> list[Column] | None:
     return out
 
 
-def _with_key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def _with_key_columns(
+    df: DataFrame, keys: Sequence[str], null_safe: bool = True
+) -> tuple[DataFrame, list[str]]:
     """``df`` plus materialised NULL-safe key columns ``__nk_i`` (or the raw keys)."""
-    norm = null_safe_key(df, keys)
+    norm = null_safe_key(df, keys) if null_safe else None
     if norm is None:
         return df, list(keys)
     names = [f"__nk_{i}" for i in range(len(norm))]
     return df.select("*", *[c.alias(n) for c, n in zip(norm, names)]), names
 
 
-def _latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> tuple[DataFrame, list[str]]:
+def _latest(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], null_safe: bool = True
+) -> tuple[DataFrame, list[str]]:
     if not order_by:
         raise ValueError("latest_per_key needs an order (no implicit precombine column)")
-    keyed, names = _with_key_columns(df, keys)
+    keyed, names = _with_key_columns(df, keys, null_safe)
     w = Window.partitionBy(*names).orderBy(*_order_cols(order_by))
     out = keyed.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
     return out, names
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+    null_safe: bool = True,
+) -> DataFrame:
     """A3: one row per record key — the one ordered last by ``order_by``.
 
     ``order_by`` names columns in ascending "arrival" order (the last wins);
     Column objects are used verbatim as the window order (first row wins).
     Ties must be broken by the caller (give a unique last column) for a
     deterministic result.  NULL is a key value like any other.
+
+    The window is partitioned by the NULL-safe key columns so that a later
+    null-safe join on the key can reuse the shuffle.  ``null_safe=False``
+    partitions by the raw keys instead — for input whose keys are known to be
+    non-NULL, where it keeps the key columns themselves in the exchange (a
+    second use of the same input, such as the means of the clean, can then
+    reuse it).
     """
-    out, names = _latest(df, keys, order_by)
+    out, names = _latest(df, keys, order_by, null_safe)
     return out.drop(*[n for n in names if n not in keys])
 
 

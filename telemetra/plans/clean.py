@@ -57,7 +57,7 @@ def clean_telemetry(
     out = cast_readings(df, readings, dtype)
     out = drop_null_keys(out, keys)
     if order_by:
-        out = latest_per_key(out, keys, order_by)
+        out = latest_per_key(out, keys, order_by, null_safe=False)  # keys are non-NULL here
     threshold = sparse_threshold(keys, readings, total_columns)
     out = drop_sparse_rows(out, readings, threshold, inclusive=inclusive)
     return impute_mean(out, readings, on_all_null=on_all_null)

@@ -27,8 +27,13 @@ def test_flagship_has_no_python_and_no_single_partition_window(spark):
 
 
 def test_dedup_variant_pre_limits_before_its_shuffle(spark):
-    plan = _plan(q_clean_telemetry_dedup(spark, SF))
+    df = q_clean_telemetry_dedup(spark, SF)
+    df.collect()
+    plan = _plan(df)
     assert "WindowGroupLimit" in plan and _only_partials_gathered(plan)
+    final = plan.split("Initial Plan")[0]
+    exchanges = [ln for ln in final.splitlines() if "Exchange hashpartitioning" in ln and "ReusedExchange" not in ln]
+    assert len(exchanges) == 1 and "ReusedExchange" in final  # one key shuffle, shared by the means
 
 
 def test_flagship_scan_prunes_columns(spark):
