@@ -92,27 +92,47 @@ def json_object_attrs(j: Column) -> Column:
     return F.try_variant_get(j, "$", "map<string,variant>")
 
 
-def tag_of_variant(v: Column) -> Column:
-    """The type tag of a JSON value, as the stream consumer assigns it.
-
-    ``BOOL`` for booleans (tested first: a boolean is not a number), ``N`` for
-    integers, decimals and floats, ``S`` for everything else (strings, nested
-    objects and arrays, which are stringified).  JSON null gives NULL: such
-    attributes are dropped.
-    """
-    t = F.schema_of_variant(v)
+def _tag_of_type(t: Column) -> Column:
     return (
         F.when(t == "VOID", F.lit(None).cast("string"))
         .when(t == "BOOLEAN", F.lit(TAG_BOOL))
         .when(
-            t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
-            | t.startswith("DECIMAL"),
+            t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL"),
             F.lit(TAG_NUMBER),
         )
         .otherwise(F.lit(TAG_STRING))
     )
 
 
+def object_fields(df: DataFrame, id_cols: Sequence[str], variant: Column) -> DataFrame:
+    """(ids, attribute, v): one row per field of a JSON object held as VARIANT.
+
+    Uses Spark's ``variant_explode`` generator (whole-stage codegen, no
+    intermediate map).  Arrays, scalars and NULL produce no rows.
+    """
+    base = df.select(*id_cols, variant.alias("__j"))
+    fields = base.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("__j").outer()))
+    return fields.where(F.col("key").isNotNull()).select(
+        *id_cols, F.col("key").alias("attribute"), F.col("value").alias("v")
+    )
+
+
+def tag_of_variant(v: Column) -> Column:
+    """The type tag of a JSON value, as the stream consumer assigns it.
+
+    ``BOOL`` for booleans (tested first: a boolean is not a number), ``N`` for
+    integers, decimals and floats, ``S`` for everything else (strings, nested
+    objects and arrays, which are stringified).  JSON null gives NULL: such
+    attributes are dropped.
+    """
+    return _tag_of_type(F.schema_of_variant(v))
+
+
+def _text_of_type(v: Column, t: Column) -> Column:
+    fractional = t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
+    return F.when(fractional, F.try_variant_get(v, "$", "double").cast("string")).otherwise(v.cast("string"))
+
+
 def stringify_variant(v: Column) -> Column:
     """Text of a JSON value, like ``str()`` of the parsed value.
 
@@ -120,15 +140,23 @@ def stringify_variant(v: Column) -> Column:
     (``28.0`` keeps its ``.0`` — VARIANT stores it as a decimal and would
     print ``28``); strings print bare; nested objects and arrays as JSON.
     """
-    t = F.schema_of_variant(v)
-    fractional = t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
-    return F.when(fractional, F.try_variant_get(v, "$", "double").cast("string")).otherwise(v.cast("string"))
+    return _text_of_type(v, F.schema_of_variant(v))
 
 
 def tagged_long_attrs(df: DataFrame, id_cols: Sequence[str], json_object: Column) -> DataFrame:
-    """P6 + P7 on a JSON object column: (ids, attribute, tag, value), nulls dropped."""
-    exploded = df.select(*id_cols, F.explode(json_object_attrs(json_object)).alias("attribute", "v"))
-    tagged = exploded.select(
-        *id_cols, "attribute", tag_of_variant(F.col("v")).alias("tag"), stringify_variant(F.col("v")).alias("value")
+    """P6 + P7 on a JSON object column: (ids, attribute, tag, value), nulls dropped.
+
+    JSON nulls are dropped first with the cheap ``is_variant_null`` test, so
+    the value's type is computed once per kept attribute (a filter on the tag
+    itself would be pushed below the projection and recompute the type in
+    every branch).
+    """
+    exploded = object_fields(df, id_cols, json_object)
+    present = exploded.where(~F.is_variant_null(F.col("v")))
+    typed = present.select(*id_cols, "attribute", "v", F.schema_of_variant("v").alias("_t"))
+    return typed.select(
+        *id_cols,
+        "attribute",
+        _tag_of_type(F.col("_t")).alias("tag"),
+        _text_of_type(F.col("v"), F.col("_t")).alias("value"),
     )
-    return tagged.where(F.col("tag").isNotNull())

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.attributes import json_object_attrs
+from ..functions.attributes import object_fields
 
 
 def inferred_schema(df: DataFrame, json_col: str) -> DataFrame:
@@ -25,7 +25,7 @@ def inferred_fields(df: DataFrame, json_col: str) -> DataFrame:
     (e.g. integers and decimals widen, a string/number clash gives a string
     type); JSON nulls contribute nothing but are counted as present.
     """
-    attrs = df.select(F.explode(json_object_attrs(F.try_parse_json(F.col(json_col)))).alias("field", "v"))
+    attrs = object_fields(df, [], F.try_parse_json(F.col(json_col))).withColumnRenamed("attribute", "field")
     return attrs.groupBy("field").agg(
         F.schema_of_variant_agg(F.col("v")).alias("data_type"),
         F.count(F.lit(1)).alias("n_records"),
