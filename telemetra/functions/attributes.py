@@ -64,6 +64,15 @@ def unwrap_item(item: Column) -> Column:
     )
 
 
+def unwrap_attribute(item: Column, name: str) -> Column:
+    """S3 for one attribute: its text whatever its tag (NULL when absent).
+
+    Three map lookups, no lambda: stays inside whole-stage codegen.
+    """
+    v = item[name]
+    return F.coalesce(v["S"], v["N"], v["BOOL"].cast("string"))
+
+
 def drop_null_attrs(attrs: Column) -> Column:
     """Remove attributes whose value is NULL."""
     return F.map_filter(attrs, lambda _k, v: v.isNotNull())
@@ -87,23 +96,6 @@ def long_attrs(df: DataFrame, id_cols: Sequence[str], attrs: Column) -> DataFram
     return df.select(*id_cols, F.explode(attrs).alias("attribute", "value"))
 
 
-def json_object_attrs(j: Column) -> Column:
-    """A variant object as ``map<string, variant>`` (NULL if not an object)."""
-    return F.try_variant_get(j, "$", "map<string,variant>")
-
-
-def _tag_of_type(t: Column) -> Column:
-    return (
-        F.when(t == "VOID", F.lit(None).cast("string"))
-        .when(t == "BOOLEAN", F.lit(TAG_BOOL))
-        .when(
-            t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL"),
-            F.lit(TAG_NUMBER),
-        )
-        .otherwise(F.lit(TAG_STRING))
-    )
-
-
 def object_fields(df: DataFrame, id_cols: Sequence[str], variant: Column) -> DataFrame:
     """(ids, attribute, v): one row per field of a JSON object held as VARIANT.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.attributes import ITEM_TYPE, unwrap_item
+from ..functions.attributes import ITEM_TYPE, unwrap_attribute
 
 
 def table_path(base_dir: str, name: str) -> str:
@@ -60,8 +60,8 @@ def read_unwrapped_items(
 ) -> DataFrame:
     """S2 + S3: read items and surface ``columns`` (name -> Spark type) typed."""
     items = read_items(spark, path)
-    plain = unwrap_item(F.col("item"))
-    return items.select(*[plain[name].try_cast(dtype).alias(name) for name, dtype in columns.items()])
+    item = F.col("item")
+    return items.select(*[unwrap_attribute(item, name).try_cast(dtype).alias(name) for name, dtype in columns.items()])
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
