@@ -109,6 +109,18 @@ def object_fields(df: DataFrame, id_cols: Sequence[str], variant: Column) -> Dat
     )
 
 
+def _tag_of_type(t: Column) -> Column:
+    return (
+        F.when(t == "VOID", F.lit(None).cast("string"))
+        .when(t == "BOOLEAN", F.lit(TAG_BOOL))
+        .when(
+            t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL"),
+            F.lit(TAG_NUMBER),
+        )
+        .otherwise(F.lit(TAG_STRING))
+    )
+
+
 def tag_of_variant(v: Column) -> Column:
     """The type tag of a JSON value, as the stream consumer assigns it.
 
