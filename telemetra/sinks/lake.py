@@ -115,8 +115,19 @@ class LakeTable:
         return [tuple(r) for r in rows]
 
     def _in_partitions(self, values: list[tuple]) -> Column:
+        """Predicate selecting the given partitions (prunes at planning time).
+
+        One partition column: ``IN (...)`` (an ``InSet`` for many values) plus
+        ``IS NULL`` for the NULL partition — flat however many partitions are
+        touched.  Several columns: an OR over the value tuples.
+        """
         if not values:
             return F.lit(False)
+        if len(self.partition_by) == 1:
+            c = F.col(self.partition_by[0])
+            present = [v[0] for v in values if v[0] is not None]
+            cond = c.isin(present) if present else F.lit(False)
+            return cond | c.isNull() if len(present) < len(values) else cond
         cond = None
         for vals in values:
             term = None

@@ -157,7 +157,7 @@ def latest_items(
 ) -> DataFrame:
     """K6: the keyed item table — one row per key, the last arrival's whole row."""
     good = read_log(spark, log_dir, readings).where(F.col("reason").isNull())
-    latest = latest_per_key(good, keys, list(ARRIVAL_ORDER))
+    latest = latest_per_key(good, keys, list(ARRIVAL_ORDER), null_safe=False)  # good rows have both keys
     return latest.select(*keys, *[r for r in readings if r not in keys], "extras")
 
 
