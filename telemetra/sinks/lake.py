@@ -47,6 +47,8 @@ COMMIT_COL = "_commit"
 #: small parquet manifest (one read per commit instead of one catalog lookup
 #: per partition).
 MANIFEST_MIN_PARTITIONS = 64
+#: Kept partitions are attached this many per ALTER TABLE statement.
+ADD_PARTITION_CHUNK = 500
 
 
 def _sql_literal(v) -> str:
@@ -234,8 +236,11 @@ class LakeTable:
             else:
                 touched_set = {tuple(None if v is None else str(v) for v in t) for t in touched}
                 keep = {vals: loc for vals, loc in old.items() if vals[:-1] not in touched_set}
-            if keep:
-                adds = " ".join(f"PARTITION ({self._spec(v)}) LOCATION '{loc}'" for v, loc in keep.items())
+            items = list(keep.items())
+            for i in range(0, len(items), ADD_PARTITION_CHUNK):
+                adds = " ".join(
+                    f"PARTITION ({self._spec(v)}) LOCATION '{loc}'" for v, loc in items[i : i + ADD_PARTITION_CHUNK]
+                )
                 self.spark.sql(f"ALTER TABLE {table} ADD {adds}")
             locations.update(keep)
         with_manifest = len(locations) > MANIFEST_MIN_PARTITIONS

@@ -118,3 +118,16 @@ def test_partition_locations_survive_a_fresh_table_object(spark, workdir, monkey
             for r in spark.sql(f"SHOW PARTITIONS {t.database}.{t.name}__{fresh.current_version()}").collect()
         }
         assert names == {"device_id=a", "device_id=b", "device_id=__HIVE_DEFAULT_PARTITION__"}
+
+
+def test_many_partitions_are_attached_in_chunks(spark, workdir, monkeypatch):
+    import telemetra.sinks.lake as lake
+
+    monkeypatch.setattr(lake, "ADD_PARTITION_CHUNK", 2)
+    monkeypatch.setattr(lake, "MANIFEST_MIN_PARTITIONS", 3)
+    t = _table(spark, workdir)
+    rows = [(f"d{i}", "1", 1, float(i)) for i in range(7)]
+    t.insert_overwrite(spark.createDataFrame(rows, SCHEMA))
+    t.upsert(spark.createDataFrame([("d0", "1", 2, 100.0)], SCHEMA), ["seq"])
+    got = _rows(t.read())
+    assert got == sorted([("d0", "1", 2, 100.0)] + rows[1:], key=lambda r: (r[0] is not None, r))
