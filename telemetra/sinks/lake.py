@@ -288,8 +288,13 @@ class LakeTable:
         """K4: add ``df``'s rows as they are (duplicates of existing keys included)."""
         if not self.exists():
             return self._commit(df, None)
-        # existing rows and files are kept as they are; only ``df`` is written
-        aligned = df.select(*[F.col(f.name) for f in self._columns(self.read().schema)])
+        # existing rows and files are kept as they are; only ``df`` is written.
+        # Columns ``df`` lacks are NULL; columns only ``df`` has are added (old
+        # files read them as NULL).
+        fields = self._columns(self.read().schema)
+        names = {f.name for f in fields}
+        cols = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        aligned = df.select(*cols, *[F.col(c) for c in df.columns if c not in names])
         return self._commit(aligned, None, append=True)
 
     def upsert(self, df: DataFrame, order_by: Sequence[str | Column]) -> str:

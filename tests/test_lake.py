@@ -131,3 +131,11 @@ def test_many_partitions_are_attached_in_chunks(spark, workdir, monkeypatch):
     t.upsert(spark.createDataFrame([("d0", "1", 2, 100.0)], SCHEMA), ["seq"])
     got = _rows(t.read())
     assert got == sorted([("d0", "1", 2, 100.0)] + rows[1:], key=lambda r: (r[0] is not None, r))
+
+
+def test_append_with_fewer_and_more_columns(spark, workdir):
+    t = _table(spark, workdir)
+    t.insert_overwrite(spark.createDataFrame([("a", "1", 1, 1.0)], SCHEMA))
+    t.insert_append(spark.createDataFrame([("a", "2", 7)], "device_id string, ts string, extra int"))
+    got = sorted((tuple(r) for r in t.read().select("ts", "seq", "v", "extra").collect()))
+    assert got == [("1", 1, 1.0, None), ("2", None, None, 7)]
