@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import time
 import urllib.parse
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -310,6 +311,24 @@ class LakeTable:
         current, touched = self._scoped(keys)
         return self._commit(delete_keys(current, keys, self.keys), touched)
 
+    def compact(self) -> str | None:
+        """Rewrite the partitions that appends left with several commit folders.
+
+        Each such partition becomes one commit folder again; partitions with a
+        single folder are kept in place.  Returns the new version, or None when
+        nothing needed compacting.
+        """
+        version = self.current_version()
+        if version is None:
+            return None
+        folders = Counter(vals[:-1] for vals in self._old_locations(version))
+        crowded = [p for p, n in folders.items() if n > 1]
+        if not crowded:
+            return None
+        if not self.partition_by:
+            return self._commit(self.read(), None)
+        return self._commit(self.read().where(self._in_partitions(crowded)), crowded)
+
     def register_as(self, qualified_name: str) -> str:
         """K8: expose the current version under another catalog name as well."""
         table = self._version_table(self.current_version())

@@ -139,3 +139,17 @@ def test_append_with_fewer_and_more_columns(spark, workdir):
     t.insert_append(spark.createDataFrame([("a", "2", 7)], "device_id string, ts string, extra int"))
     got = sorted((tuple(r) for r in t.read().select("ts", "seq", "v", "extra").collect()))
     assert got == [("1", 1, 1.0, None), ("2", None, None, 7)]
+
+
+def test_compact_merges_commit_folders_of_appended_partitions(spark, workdir):
+    t = _table(spark, workdir)
+    t.insert_overwrite(spark.createDataFrame([("a", "1", 1, 1.0), ("b", "1", 1, 2.0)], SCHEMA))
+    assert t.compact() is None
+    t.insert_append(spark.createDataFrame([("a", "2", 1, 3.0)], SCHEMA))
+    before = _rows(t.read())
+    first_b = {r["f"] for r in t.read().where("device_id = 'b'").select(F.input_file_name().alias("f")).collect()}
+    version = t.compact()
+    assert version is not None and _rows(t.read()) == before
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {t.database}.{t.name}__{version}").collect()]
+    assert sorted(p.split("/")[0] for p in parts) == ["device_id=a", "device_id=b"]
+    assert {r["f"] for r in t.read().where("device_id = 'b'").select(F.input_file_name().alias("f")).collect()} == first_b
