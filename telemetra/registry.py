@@ -34,7 +34,7 @@ from .sources.fixtures import (
     tagged_json,
     telemetry_from_events,
 )
-from .sources.tables import catalog_scan, read_table, read_unwrapped_items, register_external
+from .sources.tables import catalog_scan, read_records, read_table, read_unwrapped_items, register_external
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +96,22 @@ def q_item_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_records_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry written as JSON records without their NULL attributes,
+    read back with an inferred schema (keys unioned, missing -> NULL)."""
+    tele = telemetry(spark, sf_dir)
+    path = work_dir(spark, "records")
+    as_json = F.to_json(F.struct(*tele.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    tele.select(as_json.alias("value")).write.text(path)
+    frame = read_records(spark, path)
+    return frame.select(
+        "event_id",
+        "device_id",
+        F.col("event_ts").try_cast("timestamp_ntz").alias("event_ts"),
+        *[F.col(c).alias(c) for c in READINGS],
+    )
+
+
 def q_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discovered fields of the ``props`` JSON over all events."""
     return inferred_fields(events(spark, sf_dir), "props")
@@ -275,6 +291,7 @@ def builders() -> dict[str, Builder]:
         "table_scan": q_table_scan,
         "scan_capped": q_scan_capped,
         "item_unwrap": q_item_unwrap,
+        "records_frame": q_records_frame,
         "infer_schema": q_infer_schema,
         "cast_readings": q_cast_readings,
         "parse_body": q_parse_body,

@@ -85,3 +85,14 @@ def test_refresh_runs_only_on_a_match(spark, workdir):
     assert out is None and calls == []
     out = refresh_on_change(spark, f"{workdir}/ch", {"source": ["x"]}, f"{workdir}/m2", f"{workdir}/ck2", job)
     assert out is not None and calls == [1]
+
+
+def test_records_union_keys_and_fill_missing(spark, workdir):
+    from telemetra.sources.tables import read_records
+
+    lines = ['{"device_id":"d1","temperature":21.5}', '{"device_id":"d2","humidity":40,"ok":true}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{workdir}/rec")
+    df = read_records(spark, f"{workdir}/rec")
+    assert sorted(df.columns) == ["device_id", "humidity", "ok", "temperature"]
+    rows = {r["device_id"]: r for r in df.collect()}
+    assert rows["d1"]["humidity"] is None and rows["d2"]["temperature"] is None and rows["d2"]["ok"] is True
