@@ -56,6 +56,9 @@ def statements() -> dict[str, str]:
     sql["table_scan"] = "SELECT * FROM events"
     sql["scan_capped"] = "SELECT * FROM events ORDER BY event_id LIMIT 1000"
     sql["item_unwrap"] = _with(TELEMETRY) + "SELECT event_id, device_id, event_ts, temperature, pressure, humidity FROM telemetry"
+    sql["item_scan_capped"] = _with(TELEMETRY) + (
+        "SELECT event_id, device_id, event_ts, temperature, pressure, humidity FROM telemetry ORDER BY event_id LIMIT 1000"
+    )
     sql["records_frame"] = _with(TELEMETRY) + "SELECT event_id, device_id, event_ts, temperature, pressure, humidity FROM telemetry"
     sql["infer_schema"] = """SELECT k AS field,
   CASE WHEN bool_and(json_type(props, '$.' || k) IN ('BIGINT', 'UBIGINT')) THEN 'BIGINT'

@@ -76,24 +76,33 @@ def q_scan_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped_scan(events(spark, sf_dir), ["event_id"], 1000)
 
 
-def q_item_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: telemetry rows -> exported typed items (JSON lines) -> unwrapped, typed."""
+ITEM_COLUMNS = {
+    "event_id": "bigint",
+    "device_id": "string",
+    "event_ts": "timestamp_ntz",
+    "temperature": "double",
+    "pressure": "double",
+    "humidity": "double",
+}
+
+
+def _export_items(spark: SparkSession, sf_dir: str) -> str:
+    """Telemetry rows written as typed items (JSON lines), NULL attributes absent."""
     tele = telemetry(spark, sf_dir)
     path = work_dir(spark, "items")
-    attrs = ["event_id", "device_id", "event_ts", *READINGS]
-    tele.select(F.to_json(to_item(tele, attrs)).alias("value")).write.text(path)
-    return read_unwrapped_items(
-        spark,
-        path,
-        {
-            "event_id": "bigint",
-            "device_id": "string",
-            "event_ts": "timestamp_ntz",
-            "temperature": "double",
-            "pressure": "double",
-            "humidity": "double",
-        },
-    )
+    tele.select(F.to_json(to_item(tele, list(ITEM_COLUMNS))).alias("value")).write.text(path)
+    return path
+
+
+def q_item_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: telemetry rows -> exported typed items (JSON lines) -> unwrapped, typed."""
+    return read_unwrapped_items(spark, _export_items(spark, sf_dir), ITEM_COLUMNS)
+
+
+def q_item_scan_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + L1: typed items read back, unwrapped, at most 1000 by key order."""
+    items = read_unwrapped_items(spark, _export_items(spark, sf_dir), ITEM_COLUMNS)
+    return capped_scan(items, ["event_id"], 1000)
 
 
 def q_records_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,6 +300,7 @@ def builders() -> dict[str, Builder]:
         "table_scan": q_table_scan,
         "scan_capped": q_scan_capped,
         "item_unwrap": q_item_unwrap,
+        "item_scan_capped": q_item_scan_capped,
         "records_frame": q_records_frame,
         "infer_schema": q_infer_schema,
         "cast_readings": q_cast_readings,
