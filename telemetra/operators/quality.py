@@ -75,9 +75,10 @@ def impute_mean(
 ) -> DataFrame:
     """A2: NULL/NaN readings -> column mean, column type and all other columns kept.
 
-    The means are one row (a global aggregate has exactly one output row), so
-    broadcasting it is bounded by construction; the join is a map-side
-    nested-loop over that single row, no shuffle of ``df``.
+    Each mean is a scalar subquery over the one-row aggregate; Spark merges
+    them into one aggregation, runs it once and inlines the values, so the
+    rows of ``df`` are only projected — no join, no shuffle of ``df``.  A
+    ``means`` frame with more than one row fails instead of multiplying rows.
 
     ``on_all_null``: ``"error"`` raises when a column has no value to average
     but some row needs one (the ML Imputer's behaviour); ``"keep"`` leaves it
@@ -87,7 +88,6 @@ def impute_mean(
         raise ValueError("on_all_null must be 'error' or 'keep'")
     types = {f.name: f.dataType for f in df.schema.fields}
     means = column_means(df, columns) if means is None else means
-    joined = df.crossJoin(F.broadcast(means))
     out = []
     for c in df.columns:
         if c not in columns:
@@ -95,7 +95,7 @@ def impute_mean(
             continue
         frac = isinstance(types[c], (DoubleType, FloatType))
         value = _missing_to_null(F.col(c), frac)
-        mean = F.col(mean_column(c))
+        mean = means.select(mean_column(c)).scalar()
         filled = F.coalesce(value, mean)
         if on_all_null == "error":
             filled = F.when(
@@ -103,4 +103,4 @@ def impute_mean(
                 F.raise_error(F.lit(f"cannot impute {c}: the column has no non-missing value")),
             ).otherwise(filled)
         out.append(filled.cast(types[c]).alias(c))
-    return joined.select(*out)
+    return df.select(*out)
