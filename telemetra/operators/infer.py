@@ -33,11 +33,14 @@ def inferred_fields(df: DataFrame, json_col: str) -> DataFrame:
 
 
 def _sql_type(t: str) -> str:
+    """Column type for a discovered field: nested values and nulls as text,
+    JSON numbers with a fraction as DOUBLE (their merged decimal scale is an
+    artefact of the sample)."""
     t = t.upper()
-    if t.startswith("OBJECT") or t.startswith("ARRAY") or t == "VARIANT":
-        return "STRING"
-    if t == "VOID":
+    if t.startswith("OBJECT") or t.startswith("ARRAY") or t in ("VARIANT", "VOID"):
         return "STRING"
+    if t.startswith("DECIMAL") or t == "FLOAT":
+        return "DOUBLE"
     return t
 
 
@@ -47,6 +50,7 @@ def register_inferred_table(
     qualified_name: str,
     location: str,
     partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet",
 ) -> str:
     """Create a catalog table whose columns are the discovered fields.
 
@@ -56,5 +60,5 @@ def register_inferred_table(
     rows = fields.select("field", "data_type").orderBy("field").collect()
     cols = ", ".join(f"`{r['field']}` {_sql_type(r['data_type'])}" for r in rows)
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified_name} ({cols}) USING parquet{part} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified_name} ({cols}) USING {fmt}{part} LOCATION '{location}'")
     return qualified_name

@@ -158,15 +158,31 @@ def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_change_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change events drained by a stream; a match reruns the clean into the lake table."""
+    """Change events drained by a stream; a match runs the refresh once.
+
+    The refresh is the whole chain: the raw item records are crawled (S7:
+    schema discovered over all records, JSON table registered), scanned by
+    name (S1), cleaned (C1) and loaded into the lake table (K1).
+    """
+    from .operators.infer import inferred_fields, register_inferred_table
     from .registry import CHANGE_PATTERN
+    from .sources.fixtures import ISO_FORMAT
+    from .sources.tables import catalog_scan
 
     root = work_dir(spark, "change_refresh")
     change_events(_events(spark, sf_dir)).select(F.col("body").alias("value")).write.text(f"{root}/changes")
     table = telemetry_table(spark, "refreshed")
 
     def job() -> DataFrame:
-        run_clean_job(table, _telemetry(spark, sf_dir), ["event_id"], fused=True)
+        tele = _telemetry(spark, sf_dir)
+        records = f"{root}/items"
+        as_json = F.to_json(F.struct(*tele.columns), {"timestampNTZFormat": ISO_FORMAT})
+        tele.select(as_json.alias("value")).write.text(records)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS telemetra_src LOCATION '{root}/catalog'")
+        fields = inferred_fields(spark.read.text(records), "value")
+        name = register_inferred_table(spark, fields, f"telemetra_src.items_{_uid()}", records, fmt="json")
+        source = catalog_scan(spark, name).withColumn("event_ts", F.col("event_ts").try_cast("timestamp_ntz"))
+        run_clean_job(table, source, ["event_id"], fused=True)
         return _round(table.read())
 
     out = refresh_on_change(spark, f"{root}/changes", CHANGE_PATTERN, f"{root}/matches", f"{root}/checkpoint", job)
