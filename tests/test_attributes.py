@@ -48,3 +48,14 @@ def test_bad_messages_go_to_rejects(spark):
     assert [r["id"] for r in g] == [0] and g[0]["data"] == {"temperature": "20.5"}
     reasons = {r["id"]: r["reason"] for r in rejects.collect()}
     assert reasons == {1: "malformed_json", 2: "missing_timestamp", 3: "missing_device", 4: "missing_data"}
+
+
+def test_where_once_filters_without_reparsing(spark):
+    from telemetra.functions.evaluation import where_once
+
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a": 2}',), ("bad",)], "body string")
+    parsed = df.select(F.try_parse_json("body").alias("j")).select(F.try_variant_get("j", "$.a", "int").alias("a"), "j")
+    kept = where_once(parsed, F.col("j").isNotNull() & (F.col("a") > 1))
+    assert [r["a"] for r in kept.collect()] == [2]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
