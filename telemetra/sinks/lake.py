@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.keyed import delete_keys, latest_per_key, upsert_rows
+from ..operators.staging import stage
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _CURRENT = "telemetra.current"
@@ -307,7 +308,9 @@ class LakeTable:
 
     def delete(self, rows: DataFrame) -> str:
         """K5: remove every row whose key appears in ``rows`` (NULL keys match NULL)."""
-        keys = rows.select(*self.keys).dropDuplicates()
+        # the key set is written once: it serves the touched-partition list and
+        # the join, and the join is planned knowing its real size
+        keys = stage(rows.select(*self.keys).dropDuplicates(), "delete-keys")
         current, touched = self._scoped(keys)
         return self._commit(delete_keys(current, keys, self.keys), touched)
 
