@@ -45,3 +45,21 @@ def test_one_file_many_files_and_replay_agree(spark, workdir):
     start_ingest(spark, f"{one}/src/*", f"{one}/log", f"{one}/ck2").awaitTermination()
     assert read_log(spark, f"{one}/log").count() == before
     assert _state(spark, f"{one}/log") == a
+
+
+def test_fold_into_lake_equals_the_key_view(spark, workdir):
+    import uuid
+
+    from telemetra.sinks.lake import LakeTable
+    from telemetra.streaming.ingest import fold_log
+
+    src, log, ck = f"{workdir}/src", f"{workdir}/log", f"{workdir}/ck"
+    _write(spark, f"{src}/a1", [_msg("d1", "t1", 1.0), _msg("d2", "t1", 2.0), "nope"])
+    start_ingest(spark, f"{src}/*", log, ck).awaitTermination()
+    table = LakeTable(spark, f"{workdir}/lake", f"items_{uuid.uuid4().hex[:8]}", ("device_id", "timestamp"), ("device_id",))
+    fold_log(table, spark, log)
+    _write(spark, f"{src}/a2", [_msg("d1", "t1", 9.0), _msg("d3", "t2", 3.0)])
+    start_ingest(spark, f"{src}/*", log, ck).awaitTermination()
+    fold_log(table, spark, log, after_batch=0)
+    lake = sorted(tuple(r) for r in table.read().select("device_id", "timestamp", "temperature", "humidity").collect())
+    assert lake == _state(spark, log) == [("d1", "t1", 9.0, 1.5), ("d2", "t1", 2.0, 1.5), ("d3", "t2", 3.0, 1.5)]
