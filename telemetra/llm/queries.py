@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, sharding, url_filter, warc
+from . import licenses, mixing, pu_quality, quality_rules, sharding, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).drop("text")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return pu_quality.classify(docs, labels).drop("text")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs).drop("text")
@@ -73,5 +78,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(pages, list_entries(pages)).drop("url").withColumn("fetched_at", F.col("fetched_at").cast("string"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return quality_rules.judge(docs, labels).drop("text")
+
+
 def builders() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op3_licenses, op6_sharding, op8_warc, op9_url_filters)}
+    return {f.__name__: f for f in (op1_mixing, op3_licenses, op4_quality, op6_sharding, op8_warc, op9_url_filters, op10_quality_rules)}
