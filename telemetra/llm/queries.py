@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, pu_quality, quality_rules, sharding, url_filter, warc
+from . import licenses, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).drop("text")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row", "key")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write(table(spark, sf_dir, "pages"))
     return warc.parse(warc.read(archive))
@@ -84,4 +88,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def builders() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op3_licenses, op4_quality, op6_sharding, op8_warc, op9_url_filters, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op3_licenses, op4_quality, op6_sharding, op7_near_duplicates, op8_warc, op9_url_filters, op10_quality_rules)}
