@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
+from . import decontam, licenses, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "copies", F.get("positions", F.lit(0)).alias("position"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return decontam.contaminated(docs, items)
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs).drop("text")
@@ -88,4 +93,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def builders() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op3_licenses, op4_quality, op6_sharding, op7_near_duplicates, op8_warc, op9_url_filters, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_decontamination, op3_licenses, op4_quality, op6_sharding, op7_near_duplicates, op8_warc, op9_url_filters, op10_quality_rules)}
