@@ -124,7 +124,9 @@ def sample_features(docs: DataFrame, chosen: DataFrame) -> tuple[np.ndarray, np.
 
     found = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").mapInArrow(rows, "doc_id long, x binary")
     got = found.groupBy("doc_id").agg(F.min("x").alias("x")).toArrow().sort_by("doc_id")
-    x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float16).reshape(-1, N_FEATURES).astype(np.float32)
+    x = np.empty((got.num_rows, N_FEATURES), np.float32)
+    for k, row in enumerate(got["x"]):
+        x[k] = np.frombuffer(row.as_buffer(), np.float16)
     return got["doc_id"].to_numpy(), x
 
 

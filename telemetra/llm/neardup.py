@@ -1,17 +1,16 @@
 """Near duplicates by improved consistent weighted sampling (ICWS).
 
-A document is the weighted set of its five-word shingles, weight = count in
-the document x idf.  ICWS draws from it 36 samples that two documents share
+A document is the weighted set of its five-word shingles, weight =
+(1 + ln count) x idf.  ICWS draws from it 36 samples that two documents share
 with the probability of their weighted Jaccard similarity; three make a band,
 and documents that share a band are candidates.  Candidates are verified on
 their whole texts, and linked documents form classes.
 
 No group of copies is expanded into pairs.  Equal texts are one node.  Each
 band bucket links its members to its smallest one; where a bucket then still
-holds several components, the members of such buckets are compared across
-components, through the rarest of their shingles: two documents of similarity
-0.8 must share one of the first fifth, and passages that many documents share
-are not among these.
+holds several components, its members are compared across components through
+their rarest shingles that the leader lacks, or by size where they can share
+only what the leader has (see ``across``).
 """
 
 from __future__ import annotations
@@ -88,7 +87,7 @@ def idf_weights(n: int, frequency: np.ndarray) -> np.ndarray:
 
 
 def weigh(shingle: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return count * idf[(shingle & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+    return (1 + np.log(count)) * idf[(shingle & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
 
 
 def signature(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -115,17 +114,15 @@ def signature(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def rare_prefix(shingle: np.ndarray, weight: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """The rarest shingles, as many that every text of plain or weighted
-    similarity >= SIMILARITY shares one of them among its own."""
-    if not len(shingle):
-        return np.zeros(0, np.int64)
-    order = np.lexsort((shingle, -idf[(shingle & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]))
-    n = len(shingle)
+def prefix_length(weight: np.ndarray) -> int:
+    """How many shingles, first in some order common to all texts, are enough
+    that every text of plain or weighted similarity >= SIMILARITY shares one
+    of them among its own first; ``weight`` in that order."""
+    n = len(weight)
     plain = n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1
-    gone = np.cumsum(weight[order])
+    gone = np.cumsum(weight)
     weighted = int(np.searchsorted(gone, (1 - SIMILARITY) * gone[-1] * (1 + 1e-5), side="right")) + 1
-    return shingle[order[: min(n, max(plain, weighted))]].view(np.int64)
+    return min(n, max(plain, weighted))
 
 
 def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> float:
@@ -144,28 +141,32 @@ def _key() -> F.Column:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Staged: (doc_id, row, key, bands, rare, n, weight) for every row of ``docs``."""
-    fields = "doc_id long, row long, key binary, bands array<long>, rare array<long>, n long, weight double"
+    """Staged: (doc_id, row, key, bands, n, weight) for every row of ``docs``."""
+    fields = "doc_id long, row long, key binary, bands array<long>, n long, weight double"
 
     def signed(batches):
         for b in batches:
             for c in textnum.chunks(b.column(3)):
-                bands, rare, n, total = [], [], [], []
+                bands, n, total = [], [], []
                 for shingle, count in document_shingles(c)[0]:
                     weight = weigh(shingle, count, idf)
                     bands.append(signature(shingle, weight))
-                    rare.append(rare_prefix(shingle, weight, idf))
                     n.append(len(shingle))
                     total.append(float(weight.sum()))
                 part = [b.column(k).slice(c.first, c.n) for k in range(3)]
-                lists = [pa.array(x, pa.list_(pa.int64())) for x in (bands, rare)]
-                yield pa.RecordBatch.from_arrays([*part, *lists, pa.array(n, pa.int64()), pa.array(total, pa.float64())], names=[f.split()[0] for f in fields.split(", ")])
+                yield pa.RecordBatch.from_arrays([*part, pa.array(bands, pa.list_(pa.int64())), pa.array(n, pa.int64()), pa.array(total, pa.float64())], names=[f.split()[0] for f in fields.split(", ")])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), _key().alias("key"), "text")
     return stage(rows.mapInArrow(signed, fields), "signatures")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, idf: np.ndarray) -> DataFrame:
+def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Staged: (key, text) of the texts with these keys, each once."""
+    texts = docs.select(_key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    return stage(texts.join(keys.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "texts")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     """Staged: the (a, b) of ``pairs`` (keys of texts) whose whole texts are similar."""
 
     def similar_pairs(batches):
@@ -176,34 +177,84 @@ def verify(pairs: DataFrame, docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 keep = pa.array([similar(p, q, idf) >= SIMILARITY for p, q in zip(*sides)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 256).filter(keep), b.column(1).slice(i, 256).filter(keep)], names=["a", "b"])
 
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    texts = docs.select(_key().alias("key"), F.coalesce("text", F.lit("")).alias("text")).join(wanted, "key", "left_semi").dropDuplicates(["key"])
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(similar_pairs, "a binary, b binary"), "links")
 
 
+def against_leader(unsettled: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Staged, for each member of an unsettled bucket: is it ``linked`` to the
+    leader, the number and weight of all its shingles (n, weight) and of those
+    the leader has too (s, sw), and ``tokens``: those of its prefix that the
+    leader has not, where the prefix takes shingles the leader lacks first,
+    rare before common, and is as long as ``rare_prefix`` says."""
+    fields = "bucket long, key binary, root binary, linked boolean, n long, weight double, s long, sw double, tokens array<long>"
+
+    def compared(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                leader, member = [[x for c in textnum.chunks(part.column(k)) for x in document_shingles(c)[0]] for k in (3, 4)]
+                out = []
+                for l, m in zip(leader, member):
+                    weight = weigh(*m, idf)
+                    common = np.isin(m[0], l[0], assume_unique=True)
+                    rank = np.lexsort((m[0], -idf[(m[0] & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], common))
+                    prefix = rank[: prefix_length(weight[rank])]
+                    tokens = m[0][prefix[~common[prefix]]].view(np.int64)
+                    out.append((similar(l, m, idf) >= SIMILARITY, len(common), float(weight.sum()), int(common.sum()), float(weight[common].sum()), tokens))
+                kinds = (pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
+                columns = [pa.array([row[j] for row in out], kind) for j, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=[f.split()[0] for f in fields.split(", ")])
+
+    both = unsettled.join(texts.withColumnsRenamed({"key": "first", "text": "text_l"}), "first").join(texts.withColumnRenamed("text", "text_m"), "key")
+    return stage(both.select("bucket", "key", "root", "text_l", "text_m").mapInArrow(compared, fields), "against-leader")
+
+
+def across(members: DataFrame) -> DataFrame:
+    """(a, b): pairs of one bucket but different components that can be similar.
+
+    Two members share a shingle that the leader lacks, then one of their
+    ``tokens``; or all they share is the leader's, then the similarity is at
+    most what the smaller s allows: 4/9 of n + n.  Components differ, so one
+    of the two is not linked to the leader, and only the few members short
+    enough for one such outsider can meet it.
+    """
+    tokens = members.select("key", "root", F.explode("tokens").alias("token"), "bucket").withColumn("token", F.xxhash64("bucket", "token")).drop("bucket")
+    shared = tokens.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token")
+    tokens = tokens.join(shared, "token", "left_semi")
+    x, y = tokens.alias("x"), tokens.alias("y")
+    by_token = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")))
+    by_token = by_token.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+
+    reach = (1 + SIMILARITY) / SIMILARITY * 1.0001
+    sized = members.select("bucket", "key", "root", "linked", "n", "weight", (reach * F.col("s") - F.col("n")).alias("most_n"), (reach * F.col("sw") - F.col("weight")).alias("most_w"))
+    least = sized.groupBy("bucket").agg(F.min("n").alias("least_n"), F.min("weight").alias("least_w"))
+    outsiders = sized.filter("not linked").join(least, "bucket").filter("most_n >= least_n or most_w >= least_w").drop("least_n", "least_w")
+    bound = outsiders.groupBy("bucket").agg(F.max("most_n").alias("bound_n"), F.max("most_w").alias("bound_w"))
+    others = sized.join(bound, "bucket").filter("n <= bound_n or weight <= bound_w")
+    x, y = outsiders.alias("x"), others.alias("y")
+    fits = lambda n, most: (F.col(f"y.{n}") <= F.col(f"x.{most}")) & (F.col(f"x.{n}") <= F.col(f"y.{most}"))
+    by_size = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & (fits("n", "most_n") | fits("weight", "most_w")))
+    by_size = by_size.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
+    return by_token.union(by_size).distinct()
+
+
 def links(docs: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """(a, b): verified links that connect all similar texts found."""
-    entries = rows.select("key", F.explode("bands").alias("bucket")).distinct()
-    buckets = entries.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first <> last").select("bucket", "first")
+    entries = rows.select("key", (F.col("weight") / F.col("n")).alias("rarity"), F.explode("bands").alias("bucket")).distinct()
+    buckets = entries.groupBy("bucket").agg(F.min(F.struct("rarity", "key")).alias("leader"), F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1").select("bucket", F.col("leader.key").alias("first"))
     members = stage(entries.join(buckets, "bucket").select("bucket", "first", "key"), "members")
-    star = stage(members.filter("first <> key").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), "candidates")
-    linked = verify(star, docs, idf)
+    texts = texts_of(docs, members)
+    star = stage(members.filter("first <> key").select(F.least("first", "key").alias("a"), F.greatest("first", "key").alias("b")).distinct(), "candidates")
+    linked = verify(star, texts, idf)
 
     roots = components(linked)
-    labelled = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    labelled = members.filter("first <> key")  # the leader has met every member
+    labelled = labelled.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
-    open_keys = labelled.join(mixed, "bucket", "left_semi").select("key", "root").distinct()
-    tokens = rows.select("key", "rare", "n", "weight").dropDuplicates(["key"]).join(open_keys, "key")
-    tokens = stage(tokens.select("key", "root", "n", "weight", F.explode("rare").alias("token")), "rare-shingles")
-    # a shingle of a single text joins nothing
-    shared = tokens.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token")
-    tokens = tokens.join(shared, "token", "left_semi")
-    x, y = tokens.alias("x"), tokens.alias("y")
-    size_fits = lambda c: F.least(f"x.{c}", f"y.{c}") >= SIMILARITY * 0.9999 * F.greatest(f"x.{c}", f"y.{c}")
-    cross = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & (size_fits("n") | size_fits("weight")))
-    cross = cross.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    return linked.union(verify(stage(cross, "candidates"), docs, idf))
+    unsettled = labelled.select("bucket", "first", "key", "root").join(mixed, "bucket", "left_semi")
+    cross = across(against_leader(unsettled, texts, idf)).join(star, ["a", "b"], "left_anti")
+    return linked.union(verify(stage(cross, "candidates"), texts, idf))
 
 
 def classes(docs: DataFrame) -> DataFrame:
