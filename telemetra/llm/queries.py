@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
+from . import decontam, licenses, lm_score, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.classify(docs, labels).drop("text")
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs).drop("text")
@@ -93,4 +97,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def builders() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_decontamination, op3_licenses, op4_quality, op6_sharding, op7_near_duplicates, op8_warc, op9_url_filters, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_decontamination, op3_licenses, op4_quality, op5_lm_score, op6_sharding, op7_near_duplicates, op8_warc, op9_url_filters, op10_quality_rules)}
