@@ -82,7 +82,7 @@ class Model:
     shift: float = 0.0
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.weights + self.bias
+        return x @ self.weights.astype(x.dtype) + self.bias
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * self.margin(x) + self.shift)
@@ -110,7 +110,7 @@ def score_column(model: Model, text: Column) -> Column:
 
 
 def sample_features(docs: DataFrame, chosen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(doc_ids, features) of the rows of ``docs`` whose doc_id is in ``chosen``.
+    """(doc_ids, features as float16) of the rows of ``docs`` whose doc_id is in ``chosen``.
 
     ``chosen`` is a bounded list of ids and is broadcast, so no text moves
     before its features are computed.  A repeated id gives one row.
@@ -124,7 +124,7 @@ def sample_features(docs: DataFrame, chosen: DataFrame) -> tuple[np.ndarray, np.
 
     found = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").mapInArrow(rows, "doc_id long, x binary")
     got = found.groupBy("doc_id").agg(F.min("x").alias("x")).toArrow().sort_by("doc_id")
-    x = np.empty((got.num_rows, N_FEATURES), np.float32)
+    x = np.empty((got.num_rows, N_FEATURES), np.float16)
     for k, row in enumerate(got["x"]):
         x[k] = np.frombuffer(row.as_buffer(), np.float16)
     return got["doc_id"].to_numpy(), x
@@ -144,7 +144,7 @@ def adam(gradient: Callable[[np.ndarray, float], tuple[np.ndarray, float]], step
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 200, rate: float = 0.2) -> Model:
     """L2-penalised logistic regression."""
-    x32 = x.astype(np.float32)
+    x32 = np.asarray(x, np.float32)
 
     def gradient(w, b):
         e = (sigmoid(x32 @ w.astype(np.float32) + np.float32(b)) - y).astype(np.float32) / len(y)
@@ -159,7 +159,7 @@ def calibrate(model: Model, x: np.ndarray, y: np.ndarray, steps: int = 100) -> M
     the smoothed targets (n + 1) / (n + 2), by Newton's method."""
     if not len(y):
         return model
-    f = model.margin(x.astype(np.float64))
+    f = model.margin(x).astype(np.float64)
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     z = np.stack([f, np.ones_like(f)], axis=1)

@@ -9,7 +9,8 @@ out of them, so that it backs off where no other row has its pair:
 The n-gram tables are never gathered.  Rows are exploded into their distinct
 pairs with counts, packed column-wise per partition of the hash of ``a``; a
 partition counts its pairs and first words, joins the counts to the exploded
-pairs in place and returns one partial sum per row, which are added up.  A word
+pairs in place and returns partial sums for the rows of each chunk of
+documents, which are added up chunk by chunk.  A word
 or pair that would outgrow a partition (a third of all words may be one) is
 known beforehand from count sketches over all rows; such a word is split by
 its pair, such a pair by its rows, and both take their counts from the sketch.
@@ -112,14 +113,14 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
                     # bytes of equal weight together: sorted and small numbers then compress well
                     planes = b"".join(x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in columns)
                     packed = pa.compress(planes + flags, codec="zstd", asbytes=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([len(o)], pa.int32()), pa.array([rows[own].tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary())], names=["part", "n", "rows", "packed"])
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array(rows[:1]), pa.array([len(o)], pa.int32()), pa.array([rows[own].tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary())], names=["part", "chunk", "n", "rows", "packed"])
 
     def unpack(raw: bytes, n: int, k: int) -> list[np.ndarray]:
         planes = np.frombuffer(raw, np.uint8)
         return [np.ascontiguousarray(planes[4 * n * j : 4 * n * (j + 1)].reshape(4, n).T).view(np.uint32)[:, 0] for j in range(k)]
 
     def counted(group: pa.Table) -> pa.Table:
-        a, b, doc, times, flags, slot_ab, rows, at = [], [], [], [], [], [], [], 0
+        a, b, doc, times, flags, slot_ab, rows, sizes, chunks, at = [], [], [], [], [], [], [], [], [], 0
         for r in group.to_pylist():
             n = r["n"]
             raw = pa.decompress(r["packed"], 21 * n, codec="zstd", asbytes=True)
@@ -128,6 +129,8 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
             flags.append(np.frombuffer(raw, np.uint8)[20 * n :])
             rows.append(np.array(r["rows"], np.int64))
             at += len(rows[-1])
+            sizes.append(len(rows[-1]))
+            chunks.append(r["chunk"])
         a, b, doc, times, flags, slot_ab, rows = map(np.concatenate, (a, b, doc, times, flags, slot_ab, rows))
         times = times.astype(np.int64)
         pair = (a.astype(np.uint64) << np.uint64(32)) | b
@@ -146,10 +149,21 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
         log = np.where(seen, np.log(np.maximum(left_ab, 1) / np.maximum(left_a, left_ab)), np.log(BACKOFF * np.maximum(words[(b >> np.uint32(32 - WORD_BITS)).astype(np.int64)] - times, 1) / max(total, 1)))
         n = np.bincount(doc, weights=times, minlength=len(rows)).astype(np.int64)
         n_seen = np.bincount(doc, weights=times * seen, minlength=len(rows)).astype(np.int64)
-        return pa.table({"row": rows, "n": n, "seen": n_seen, "log": np.bincount(doc, weights=times * log, minlength=len(rows))})
+        log = np.bincount(doc, weights=times * log, minlength=len(rows))
+        cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in (rows, n, n_seen, log)]
+        return pa.table({"part": group["part"], "chunk": pa.array(chunks, pa.int64()), **dict(zip(("rows", "n", "seen", "log"), lists))})
+
+    def added(group: pa.Table) -> pa.Table:
+        group = group.sort_by("part")  # a fixed order of addition
+        columns = [np.concatenate([x.values.to_numpy() for x in group[c]]) for c in ("rows", "n", "seen", "log")]
+        row, at = np.unique(columns[0], return_inverse=True)
+        sums = [np.bincount(at, weights=x) for x in columns[1:]]
+        return pa.table({"row": row, "n": sums[0].astype(np.int64), "seen": sums[1].astype(np.int64), "log": sums[2]})
 
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    packed = numbered.select("row", "text").mapInArrow(exploded, "part int, n int, rows array<long>, packed binary")
-    sums = packed.groupBy("part").applyInArrow(counted, "row long, n long, seen long, log double").groupBy("row").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"), F.sum("log").alias("log"))
+    packed = numbered.select("row", "text").mapInArrow(exploded, "part int, chunk long, n int, rows array<long>, packed binary")
+    parts = packed.groupBy("part").applyInArrow(counted, "part int, chunk long, rows array<long>, n array<long>, seen array<long>, log array<double>")
+    sums = parts.groupBy("chunk").applyInArrow(added, "row long, n long, seen long, log double")
     out = numbered.select("doc_id", "row").join(sums, "row", "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_pairs"), F.coalesce("seen", F.lit(0)).alias("n_seen"), F.round(F.col("log") / F.col("n"), 6).alias("log_score"))

@@ -65,7 +65,7 @@ def nn_pu(p: np.ndarray, u: np.ndarray, prior: float, penalty: float = 1e-4, ste
 def calibrate(model: linear.Model, p: np.ndarray, u: np.ndarray, prior: float) -> linear.Model:
     """Slope and shift of the margin with the least risk of the same kind on
     rows that the weights have not seen, searched on a grid."""
-    fp, fu = model.margin(p.astype(np.float64)), model.margin(u.astype(np.float64))
+    fp, fu = model.margin(p).astype(np.float64), model.margin(u).astype(np.float64)
     best = (np.inf, 1.0, 0.0)
     for slope in np.exp(np.linspace(-2, 2, 41)):
         for shift in np.linspace(-12, 12, 121):
@@ -92,13 +92,17 @@ def fit(docs: DataFrame, labels: DataFrame, n_positive: int = N_POSITIVE, n_unla
     good = {r.doc_id for r in chosen.collect() if r.good}  # at most n_positive + n_unlabelled ids
     ids, x = linear.sample_features(docs, chosen)
     is_p = np.array([i in good for i in ids.tolist()], bool)
-    p, u = x[is_p], x[~is_p]
+    # in an order of chance, so that slices, which copy nothing, are random parts
+    chance = np.random.default_rng(4).permutation(len(x))
+    p, u = x[chance[is_p[chance]]].astype(np.float32), x[chance[~is_p[chance]]].astype(np.float32)
+    del x
     if len(p) < 4 or len(u) < 4:
         return linear.UNDECIDED
-    first = linear.logistic(np.vstack([p[::2], u[::2]]), np.repeat([1.0, 0.0], [len(p[::2]), len(u[::2])]), steps=100)
-    prior = class_prior(first.margin(p[1::2]), first.margin(u[1::2]))
-    back = lambda x: np.arange(len(x)) % 4 == 3
-    return calibrate(nn_pu(p[~back(p)], u[~back(u)], prior), p[back(p)], u[back(u)], prior)
+    hp, hu = len(p) // 2, len(u) // 2
+    first = linear.logistic(np.vstack([p[:hp], u[:hu]]), np.repeat([1.0, 0.0], [hp, hu]), steps=100)
+    prior = class_prior(first.margin(p[hp:]), first.margin(u[hu:]))
+    tp, tu = len(p) * 3 // 4, len(u) * 3 // 4
+    return calibrate(nn_pu(p[:tp], u[:tu], prior), p[tp:], u[tu:], prior)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **sample) -> DataFrame:

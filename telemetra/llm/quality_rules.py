@@ -84,7 +84,7 @@ def fit(docs: DataFrame, labels: DataFrame, n_labelled: int = N_LABELLED) -> lin
     kept_back = np.arange(len(y)) % 4 == 3
     if len(set(y[~kept_back])) < 2:
         return linear.UNDECIDED
-    return linear.calibrate(linear.logistic(x[~kept_back], y[~kept_back]), x[kept_back], y[kept_back])
+    return linear.calibrate(linear.logistic(x[~kept_back], y[~kept_back]), x[kept_back].astype(np.float32), y[kept_back])
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, least_words: int = 10, most_repeat: int = 20, **sample) -> DataFrame:
