@@ -6,12 +6,8 @@ Fixed values: these must stay equal to the behaviour being reproduced
 
 # --- fixed values -----------------------------------------------------------
 RECORD_KEY = ("device_id", "timestamp")
-PARTITION_FIELD = "device_id"
 READINGS = ("temperature", "pressure", "humidity")
-TYPE_TAGS = ("S", "N", "BOOL")
-TELEMETRY_TOPIC = "telemetry_data"
 ITEM_SCAN_CAP = 10000
-MESSAGE_FIELDS = ("device", "timestamp", "data")
 # sparse-row threshold = number of counted columns // 2
 THRESHOLD_DIVISOR = 2
 # -----------------------------------------------------------------------------

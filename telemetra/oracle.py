@@ -121,7 +121,7 @@ FROM cleaned"""
         f"count(*) - count({c}) AS null_count FROM telemetry"
         for i, c, t in cols
     )
-    sql["clean_telemetry"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
+    sql["clean_telemetry_keyed"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
     sql["clean_telemetry_dedup"] = _with(
         TELEMETRY,
         """latest AS (
@@ -131,6 +131,7 @@ FROM cleaned"""
   WHERE rn = 1)""",
         f"""cleaned_latest AS (SELECT * FROM latest WHERE {NULLS} <= 2)""",
     ) + _imputed("cleaned_latest")
+    sql["clean_telemetry"] = sql["clean_telemetry_dedup"]
     sql["clean_telemetry_inclusive"] = _with(
         TELEMETRY,
         f"""cleaned_inc AS (

@@ -43,7 +43,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: telemetra needs a shared folder "
             "for snapshots and stream checkpoints on a cluster"

@@ -18,27 +18,25 @@ Layout and commit protocol
   others are kept.
 * The view ``<db>.<name>`` is then switched to the new version (K8).  Readers
   that resolved the view before the switch keep reading the old, complete
-  version; new readers see the new one.  Old version folders stay until
-  :meth:`LakeTable.vacuum` drops versions no view points at.
+  version; new readers see the new one.  Old version folders stay.
 
 Partition scoping requires the partition columns to be part of the record
 key (a key then lives in exactly one partition); otherwise commits rewrite
-the whole table.  The touched-partition list is the only thing collected to
-the driver, and it is bounded by the number of partitions, not rows.
+the whole table.  The driver holds the list of partitions and their locations,
+as the catalog calls need it; it grows with the number of partitions.
 """
 
 from __future__ import annotations
 
 import time
 import urllib.parse
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import FractionalType, IntegralType, StructType
 
-from ..operators.keyed import delete_keys, latest_per_key, upsert_rows
+from ..operators.keyed import delete_keys, latest_per_key
 from ..operators.staging import stage
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -113,33 +111,14 @@ class LakeTable:
     def _partition_scoped(self) -> bool:
         return bool(self.partition_by) and set(self.partition_by) <= set(self.keys)
 
-    def _touched(self, df: DataFrame) -> list[tuple]:
-        """Distinct partition values present in ``df`` (bounded by the partition count)."""
-        rows = df.select(*self.partition_by).distinct().collect()
-        return [tuple(r) for r in rows]
+    def _partition_text(self) -> list[Column]:
+        """The partition columns as their folder names hold them: cast to text, '' is NULL."""
+        return [F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in self.partition_by]
 
-    def _in_partitions(self, values: list[tuple]) -> Column:
-        """Predicate selecting the given partitions (prunes at planning time).
-
-        One partition column: ``IN (...)`` (an ``InSet`` for many values) plus
-        ``IS NULL`` for the NULL partition — flat however many partitions are
-        touched.  Several columns: an OR over the value tuples.
-        """
-        if not values:
-            return F.lit(False)
-        if len(self.partition_by) == 1:
-            c = F.col(self.partition_by[0])
-            present = [v[0] for v in values if v[0] is not None]
-            cond = c.isin(present) if present else F.lit(False)
-            return cond | c.isNull() if len(present) < len(values) else cond
-        cond = None
-        for vals in values:
-            term = None
-            for c, v in zip(self.partition_by, vals):
-                t = F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
-                term = t if term is None else term & t
-            cond = term if cond is None else cond | term
-        return cond
+    def _stored(self, df: DataFrame) -> DataFrame:
+        """``df`` as the table stores it: '' in a partition column is NULL there."""
+        texts = [c for c in self.partition_by if dict(df.dtypes)[c] == "string"]
+        return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts}) if texts else df
 
     @property
     def _levels(self) -> list[str]:
@@ -210,8 +189,8 @@ class LakeTable:
         cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in self._columns(schema)]
         return ", ".join(cols + [f"`{COMMIT_COL}` string"])
 
-    def _commit(self, rows: DataFrame, touched: list[tuple] | None, append: bool = False) -> str:
-        """Write ``rows`` as a new version.
+    def _commit(self, rows: DataFrame, touched: list[tuple] | None, append: bool = False, base: str | None = None) -> str:
+        """Write ``rows`` as a new version; fail if another commit followed ``base``.
 
         ``append``: every existing partition is kept and ``rows`` are added.
         Otherwise ``rows`` are the full content of the ``touched`` partitions
@@ -219,10 +198,15 @@ class LakeTable:
         """
         version = f"v{time.time_ns()}"
         location = f"{self.path}/{version}"
-        out = rows.withColumn(COMMIT_COL, F.lit(version))
+        out = self._stored(rows).withColumn(COMMIT_COL, F.lit(version))
+        if self.partition_by:
+            # one file per partition, several for one that is large
+            out = out.hint("rebalance", *self.partition_by)
         out.write.mode("errorifexists").partitionBy(*self._levels).parquet(location)
 
         previous = self.current_version()
+        if base is not None and previous != base:
+            raise RuntimeError(f"{self.view}: planned on {base}, but {previous} has been committed since")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.path}/_catalog'")
         table = self._version_table(version)
         self.spark.sql(
@@ -236,7 +220,7 @@ class LakeTable:
             if append:
                 keep = old
             else:
-                touched_set = {tuple(None if v is None else str(v) for v in t) for t in touched}
+                touched_set = set(touched)
                 keep = {vals: loc for vals, loc in old.items() if vals[:-1] not in touched_set}
             items = list(keep.items())
             for i in range(0, len(items), ADD_PARTITION_CHUNK):
@@ -257,24 +241,42 @@ class LakeTable:
         return version
 
     def read_snapshot(self, version: str | None = None) -> DataFrame:
-        """The files one version wrote, read from its folder with the table schema.
-
-        The folder of a full rewrite (``overwrite`` / ``insert_overwrite``) is a
-        complete snapshot; later versions also reference older folders, which
-        :meth:`read` resolves through the catalog.
-        """
-        from ..sources.tables import read_snapshot
-
-        schema = StructType(self._columns(self.read().schema))
-        return read_snapshot(self.spark, self.snapshot_location(version), schema).drop(COMMIT_COL)
+        """The whole table as of one version, whichever commits wrote its files."""
+        visible = [f.name for f in self._columns(self.read().schema)]
+        table = self.spark.table(self._version_table(version or self.current_version()))
+        return table.select(*[c for c in visible if c in table.columns])
 
     def _scoped(self, incoming: DataFrame) -> tuple[DataFrame, list[tuple] | None]:
-        """(current rows of the partitions ``incoming`` touches, touched list or None)."""
+        """(current rows of the partitions ``incoming`` touches, touched list or None).
+
+        Current rows are found by a NULL-safe semi-join with the staged
+        distinct partitions, so no list of values enters the plan.
+        """
         current = self.read()
         if not self._partition_scoped():
             return current, None
-        touched = self._touched(incoming)
-        return current.where(self._in_partitions(touched)), touched
+        touched = stage(incoming.select(*self._partition_text()).distinct(), "touched")
+        names = [f"_t_{c}" for c in self.partition_by]
+        same = [F.nullif(F.col(c).cast("string"), F.lit("")).eqNullSafe(F.col(n)) for c, n in zip(self.partition_by, names)]
+        scoped = current.join(touched.toDF(*names), same, "left_semi")
+        return scoped, [tuple(r) for r in touched.collect()]
+
+    def _aligned(self, df: DataFrame) -> DataFrame:
+        """``df`` with the stored columns in their stored types (kept files
+        have no others), then its new ones.
+
+        Columns ``df`` lacks are NULL.  A value that the stored type cannot
+        hold fails the commit, and so does a fractional column for a stored
+        integral one, which a cast would truncate.
+        """
+        fields = self._columns(self.read().schema)
+        given = {f.name: f.dataType for f in df.schema.fields}
+        for f in fields:
+            if isinstance(f.dataType, IntegralType) and isinstance(given.get(f.name), FractionalType):
+                raise ValueError(f"{f.name}: {given[f.name].simpleString()} rows do not fit the stored {f.dataType.simpleString()}")
+        names = {f.name for f in fields}
+        cols = [(F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+        return df.select(*cols, *[F.col(c) for c in df.columns if c not in names])
 
     # --- operations -----------------------------------------------------------------
 
@@ -290,62 +292,35 @@ class LakeTable:
         """K4: add ``df``'s rows as they are (duplicates of existing keys included)."""
         if not self.exists():
             return self._commit(df, None)
-        # existing rows and files are kept as they are; only ``df`` is written.
-        # Columns ``df`` lacks are NULL; columns only ``df`` has are added (old
-        # files read them as NULL).
-        fields = self._columns(self.read().schema)
-        names = {f.name for f in fields}
-        cols = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-        aligned = df.select(*cols, *[F.col(c) for c in df.columns if c not in names])
-        return self._commit(aligned, None, append=True)
+        # existing rows and files are kept as they are; only ``df`` is written;
+        # old files read columns that only ``df`` has as NULL
+        base = self.current_version()
+        return self._commit(self._aligned(self._stored(df)), None, append=True, base=base)
 
     def upsert(self, df: DataFrame, order_by: Sequence[str | Column]) -> str:
         """K2: key match -> whole row replaced by the latest source row, else insert."""
         if not self.exists():
             return self.overwrite(df, order_by)
-        current, touched = self._scoped(df)
-        return self._commit(upsert_rows(current, df, self.keys, order_by), touched)
+        base = self.current_version()
+        # the latest source rows are evaluated once: for the touched
+        # partitions, the join and the rows written
+        latest = stage(latest_per_key(self._stored(df), self.keys, order_by), "upsert-rows")
+        current, touched = self._scoped(latest)
+        latest = self._aligned(latest)
+        kept = delete_keys(current, latest.select(*self.keys), self.keys, distinct=False)
+        return self._commit(kept.unionByName(latest, allowMissingColumns=True), touched, base=base)
 
     def delete(self, rows: DataFrame) -> str:
         """K5: remove every row whose key appears in ``rows`` (NULL keys match NULL)."""
         # the key set is written once: it serves the touched-partition list and
         # the join, and the join is planned knowing its real size
-        keys = stage(rows.select(*self.keys).dropDuplicates(), "delete-keys")
+        base = self.current_version()
+        keys = stage(self._stored(rows.select(*self.keys)).dropDuplicates(), "delete-keys")
         current, touched = self._scoped(keys)
-        return self._commit(delete_keys(current, keys, self.keys), touched)
-
-    def compact(self) -> str | None:
-        """Rewrite the partitions that appends left with several commit folders.
-
-        Each such partition becomes one commit folder again; partitions with a
-        single folder are kept in place.  Returns the new version, or None when
-        nothing needed compacting.
-        """
-        version = self.current_version()
-        if version is None:
-            return None
-        folders = Counter(vals[:-1] for vals in self._old_locations(version))
-        crowded = [p for p, n in folders.items() if n > 1]
-        if not crowded:
-            return None
-        if not self.partition_by:
-            return self._commit(self.read(), None)
-        return self._commit(self.read().where(self._in_partitions(crowded)), crowded)
+        return self._commit(delete_keys(current, keys, self.keys, distinct=False), touched, base=base)
 
     def register_as(self, qualified_name: str) -> str:
-        """K8: expose the current version under another catalog name as well."""
-        table = self._version_table(self.current_version())
+        """K8: expose the table under another catalog name, which follows its commits."""
         visible = ", ".join(f"`{f.name}`" for f in self._columns(self.read().schema))
-        self.spark.sql(f"CREATE OR REPLACE VIEW {qualified_name} AS SELECT {visible} FROM {table}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {qualified_name} AS SELECT {visible} FROM {self.view}")
         return qualified_name
-
-    def vacuum(self) -> list[str]:
-        """Drop catalog entries of versions the view no longer points at (files stay)."""
-        current = self.current_version()
-        dropped = []
-        prefix = f"{self.name}__v"
-        for t in self.spark.catalog.listTables(self.database):
-            if t.name.startswith(prefix) and t.name != f"{self.name}__{current}":
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{t.name}")
-                dropped.append(t.name)
-        return dropped

@@ -42,15 +42,14 @@ def catalog_scan(spark: SparkSession, qualified_name: str) -> DataFrame:
     return spark.table(qualified_name)
 
 
-def read_records(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
+def read_records(spark: SparkSession, path: str) -> DataFrame:
     """JSON records -> DataFrame with an inferred schema.
 
     Keys are unioned over the records (a key some records lack is a column
     that is NULL for them), and conflicting types widen as Spark's JSON
-    inference does.  Inference is a distributed pass over the files;
-    ``sampling_ratio`` bounds it on very large inputs.
+    inference does.  Inference is a distributed pass over all records.
     """
-    return spark.read.option("samplingRatio", str(sampling_ratio)).json(path)
+    return spark.read.json(path)
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:

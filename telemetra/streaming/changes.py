@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,13 +48,16 @@ def drain_matches(
     q.awaitTermination()
 
 
-def any_match_since(spark: SparkSession, matches_dir: str, schema: str, after_batch: int = -1) -> bool:
-    """Whether a batch newer than ``after_batch`` recorded a match (reads one row)."""
+def last_batch(spark: SparkSession, folder: str, schema: str) -> int:
+    """The largest batch recorded below ``folder``, -1 before the first one."""
     try:
-        m = spark.read.schema(f"{schema}, batch_id bigint").parquet(matches_dir)
-    except Exception:  # noqa: BLE001 - no batch written yet
-        return False
-    return len(m.where(F.col("batch_id") > after_batch).limit(1).take(1)) > 0
+        batches = spark.read.schema(f"{schema}, batch_id bigint").parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    found = batches.agg(F.max("batch_id")).first()[0]
+    return -1 if found is None else found
 
 
 def refresh_on_change(
@@ -65,8 +69,16 @@ def refresh_on_change(
     job: Callable[[], DataFrame],
     after_batch: int = -1,
 ) -> DataFrame | None:
-    """Drain change events; when one matched, run ``job`` once and return its result."""
+    """Drain change events; when new ones matched, run ``job`` once and return its result.
+
+    The last batch refreshed is recorded beside the matches after ``job``
+    returned, so later calls run it again only for later matches.
+    """
     drain_matches(spark, source_dir, pattern, matches_dir, checkpoint_dir)
-    if any_match_since(spark, matches_dir, CHANGE_EVENT_SCHEMA, after_batch):
-        return job()
-    return None
+    refreshed_dir = matches_dir.rstrip("/") + "_refreshed"
+    latest = last_batch(spark, matches_dir, CHANGE_EVENT_SCHEMA)
+    if latest <= max(after_batch, last_batch(spark, refreshed_dir, "done boolean")):
+        return None
+    out = job()
+    spark.range(1).select(F.lit(True).alias("done")).write.mode("overwrite").parquet(f"{refreshed_dir}/batch_id={latest}")
+    return out

@@ -1,3 +1,6 @@
+import uuid
+
+import pytest
 from pyspark.sql import functions as F
 
 from telemetra.plans.clean import clean_telemetry, run_clean_job
@@ -141,15 +144,55 @@ def test_append_with_fewer_and_more_columns(spark, workdir):
     assert got == [("1", 1, 1.0, None), ("2", None, None, 7)]
 
 
-def test_compact_merges_commit_folders_of_appended_partitions(spark, workdir):
+def _typed(spark, workdir):
+    return LakeTable(spark, workdir, f"typed_{uuid.uuid4().hex[:8]}", ["flag", "id"], ["flag"])
+
+
+@pytest.mark.parametrize("kind, a, b", [("boolean", "true", "false"), ("timestamp", "2024-01-01 00:00:00.125", "2024-01-02 00:00:00"), ("string", "", "x y/z"), ("double", "1.5", "2")])
+def test_partition_of_any_type_is_replaced_and_deleted(spark, workdir, kind, a, b):
+    def rows(*xs):
+        return spark.createDataFrame([(f, i, v) for f, i, v in xs], "flag string, id string, v int").withColumn("flag", F.col("flag").cast(kind))
+
+    t = _typed(spark, workdir)
+    t.overwrite(rows((a, "1", 1), (b, "1", 2)), ["v"])
+    t.upsert(rows((a, "1", 3)), ["v"])
+    assert sorted(r.v for r in t.read().collect()) == [2, 3]
+    t.insert_append(rows((a, "2", 4)))
+    assert sorted(r.v for r in t.read_snapshot().collect()) == [2, 3, 4]
+    t.delete(rows((a, "1", 0), (a, "2", 0)))
+    assert [r.v for r in t.read_snapshot().collect()] == [2]
+
+
+def test_two_partition_columns_and_many_partitions(spark, workdir):
+    t = LakeTable(spark, workdir, f"wide_{uuid.uuid4().hex[:8]}", ["a", "b"], ["a", "b"])
+    rows = spark.range(600).select((F.col("id") % 30).cast("string").alias("a"), (F.col("id") / 30).cast("int").cast("string").alias("b"), F.col("id").alias("v"))
+    t.overwrite(rows, ["v"])
+    t.upsert(rows.withColumn("v", F.col("v") + 1000), ["v"])
+    assert t.read().agg(F.count("v"), F.min("v")).first()[:] == (600, 1000)
+
+
+def test_append_keeps_stored_types(spark, workdir):
     t = _table(spark, workdir)
-    t.insert_overwrite(spark.createDataFrame([("a", "1", 1, 1.0), ("b", "1", 1, 2.0)], SCHEMA))
-    assert t.compact() is None
-    t.insert_append(spark.createDataFrame([("a", "2", 1, 3.0)], SCHEMA))
-    before = _rows(t.read())
-    first_b = {r["f"] for r in t.read().where("device_id = 'b'").select(F.input_file_name().alias("f")).collect()}
-    version = t.compact()
-    assert version is not None and _rows(t.read()) == before
-    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {t.database}.{t.name}__{version}").collect()]
-    assert sorted(p.split("/")[0] for p in parts) == ["device_id=a", "device_id=b"]
-    assert {r["f"] for r in t.read().where("device_id = 'b'").select(F.input_file_name().alias("f")).collect()} == first_b
+    t.insert_overwrite(spark.createDataFrame([("a", "1", 1, 1.0)], SCHEMA))
+    t.insert_append(spark.createDataFrame([("a", "2", 1, 2)], "device_id string, ts string, seq int, v int"))
+    assert sorted(r.v for r in t.read().collect()) == [1.0, 2.0]
+    with pytest.raises(ValueError):
+        t.insert_append(spark.createDataFrame([("a", "3", 1.5, 2.0)], "device_id string, ts string, seq double, v double"))
+
+
+def test_published_name_follows_and_stale_base_fails(spark, workdir):
+    t = _table(spark, workdir)
+    row = lambda ts: spark.createDataFrame([("a", ts, 1, 1.0)], SCHEMA)
+    t.insert_overwrite(row("1"))
+    name = t.register_as(f"{t.view}_published")
+    base = t.current_version()
+    t.insert_append(row("2"))
+    assert spark.table(name).count() == 2
+    with pytest.raises(RuntimeError):
+        t._commit(row("3"), None, append=True, base=base)
+
+
+def test_rebalanced_write_makes_one_file_per_partition(spark, workdir):
+    t = _table(spark, workdir)
+    t.insert_overwrite(spark.range(2000).repartition(16).select(F.concat(F.lit("d"), F.col("id") % 20).alias("device_id"), F.col("id").cast("string").alias("ts"), F.lit(1).alias("seq"), F.lit(1.0).alias("v")))
+    assert len(t.read().inputFiles()) <= 40

@@ -85,6 +85,9 @@ def test_refresh_runs_only_on_a_match(spark, workdir):
     assert out is None and calls == []
     out = refresh_on_change(spark, f"{workdir}/ch", {"source": ["x"]}, f"{workdir}/m2", f"{workdir}/ck2", job)
     assert out is not None and calls == [1]
+    for _ in range(2):  # the event has been served
+        assert refresh_on_change(spark, f"{workdir}/ch", {"source": ["x"]}, f"{workdir}/m2", f"{workdir}/ck2", job) is None
+    assert calls == [1]
 
 
 def test_records_union_keys_and_fill_missing(spark, workdir):
