@@ -119,15 +119,20 @@ def sample_features(docs: DataFrame, chosen: DataFrame) -> tuple[np.ndarray, np.
     def rows(batches):
         for b in batches:
             for c in textnum.chunks(b.column(1)):
-                x = features(c).astype(np.float16)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
+                packed = [np.flatnonzero(r).astype(np.uint16).tobytes() + r[r != 0].tobytes() for r in features(c).astype(np.float16)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n), pa.array(packed, pa.binary())], names=["doc_id", "x"])
 
     found = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").mapInArrow(rows, "doc_id long, x binary")
     got = found.groupBy("doc_id").agg(F.min("x").alias("x")).toArrow().sort_by("doc_id")
-    x = np.empty((got.num_rows, N_FEATURES), np.float16)
-    for k, row in enumerate(got["x"]):
-        x[k] = np.frombuffer(row.as_buffer(), np.float16)
-    return got["doc_id"].to_numpy(), x
+    x = np.zeros((got.num_rows, N_FEATURES), np.float16)
+    for k, row in enumerate(got["x"]):  # places of the features that are not zero, then their values
+        raw = row.as_buffer()
+        half = raw.size // 2
+        x[k, np.frombuffer(raw, np.uint16, half // 2)] = np.frombuffer(raw, np.float16, half // 2, half)
+    ids = got["doc_id"].to_numpy().copy()
+    del got
+    pa.default_memory_pool().release_unused()
+    return ids, x
 
 
 def adam(gradient: Callable[[np.ndarray, float], tuple[np.ndarray, float]], steps: int, rate: float) -> tuple[np.ndarray, float]:
