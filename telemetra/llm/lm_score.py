@@ -113,7 +113,7 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
                     # bytes of equal weight together: sorted and small numbers then compress well
                     planes = b"".join(x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in columns)
                     packed = pa.compress(planes + flags, codec="zstd", asbytes=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array(rows[:1]), pa.array([len(o)], pa.int32()), pa.array([rows[own].tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary())], names=["part", "chunk", "n", "rows", "packed"])
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array(rows[:1]), pa.array([len(o)], pa.int32()), pa.array([own.astype(np.int32)], pa.list_(pa.int32())), pa.array([packed], pa.binary())], names=["part", "chunk", "n", "rows", "packed"])
 
     def unpack(raw: bytes, n: int, k: int) -> list[np.ndarray]:
         planes = np.frombuffer(raw, np.uint8)
@@ -127,7 +127,7 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
             for out, x in zip((a, b, slot_ab, doc, times), unpack(raw, n, 5)):
                 out.append(x if out is not doc else x.astype(np.int64) + at)
             flags.append(np.frombuffer(raw, np.uint8)[20 * n :])
-            rows.append(np.array(r["rows"], np.int64))
+            rows.append(np.array(r["rows"], np.int32))
             at += len(rows[-1])
             sizes.append(len(rows[-1]))
             chunks.append(r["chunk"])
@@ -151,7 +151,7 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
         n_seen = np.bincount(doc, weights=times * seen, minlength=len(rows)).astype(np.int64)
         log = np.bincount(doc, weights=times * log, minlength=len(rows))
         cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in (rows, n, n_seen, log)]
+        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in (rows, n.astype(np.int32), n_seen.astype(np.int32), log)]
         return pa.table({"part": group["part"], "chunk": pa.array(chunks, pa.int64()), **dict(zip(("rows", "n", "seen", "log"), lists))})
 
     def added(group: pa.Table) -> pa.Table:
@@ -159,11 +159,12 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
         columns = [np.concatenate([x.values.to_numpy() for x in group[c]]) for c in ("rows", "n", "seen", "log")]
         row, at = np.unique(columns[0], return_inverse=True)
         sums = [np.bincount(at, weights=x) for x in columns[1:]]
+        row = row.astype(np.int64) + group["chunk"][0].as_py()  # rows of a chunk are numbered one after the other
         return pa.table({"row": row, "n": sums[0].astype(np.int64), "seen": sums[1].astype(np.int64), "log": sums[2]})
 
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    packed = numbered.select("row", "text").mapInArrow(exploded, "part int, chunk long, n int, rows array<long>, packed binary")
-    parts = packed.groupBy("part").applyInArrow(counted, "part int, chunk long, rows array<long>, n array<long>, seen array<long>, log array<double>")
+    packed = numbered.select("row", "text").mapInArrow(exploded, "part int, chunk long, n int, rows array<int>, packed binary")
+    parts = packed.groupBy("part").applyInArrow(counted, "part int, chunk long, rows array<int>, n array<int>, seen array<int>, log array<double>")
     sums = parts.groupBy("chunk").applyInArrow(added, "row long, n long, seen long, log double")
     out = numbered.select("doc_id", "row").join(sums, "row", "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_pairs"), F.coalesce("seen", F.lit(0)).alias("n_seen"), F.round(F.col("log") / F.col("n"), 6).alias("log_score"))
