@@ -1,4 +1,4 @@
-from telemetra.registry import q_clean_telemetry, q_clean_telemetry_dedup, q_impute_mean, q_parse_body
+from telemetra.registry import q_clean_telemetry, q_clean_telemetry_dedup, q_clean_telemetry_keyed, q_impute_mean, q_parse_body
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +23,12 @@ def test_flagship_has_no_python_and_no_single_partition_window(spark):
     assert "EvalPython" not in plan and "ArrowEvalPython" not in plan
     assert _only_partials_gathered(plan)
     assert "Join" not in plan and "Subquery" in plan  # means are one merged scalar subquery
-    assert "hashpartitioning" not in plan  # a keyed source needs no row shuffle
+    assert "WindowGroupLimit" in plan  # one row per key comes first
+
+
+def test_keyed_source_needs_no_row_shuffle(spark):
+    plan = _plan(q_clean_telemetry_keyed(spark, SF))
+    assert _only_partials_gathered(plan) and "Join" not in plan and "hashpartitioning" not in plan
 
 
 def test_dedup_variant_pre_limits_before_its_shuffle(spark):
