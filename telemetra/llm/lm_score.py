@@ -10,7 +10,9 @@ The n-gram tables are never gathered.  Rows are exploded into their distinct
 pairs with counts, packed column-wise per partition of the hash of ``a``; a
 partition counts its pairs and first words, joins the counts to the exploded
 pairs in place and returns partial sums for the rows of each chunk of
-documents, which are added up chunk by chunk.  A word
+documents, packed in the same way, which are added up chunk by chunk.  The
+logarithms in them are whole multiples of 2^-24, so that their sum does not
+depend on the order of addition.  A word
 or pair that would outgrow a partition (a third of all words may be one) is
 known beforehand from count sketches over all rows; such a word is split by
 its pair, such a pair by its rows, and both take their counts from the sketch.
@@ -28,6 +30,12 @@ from . import textnum
 BACKOFF = 0.4
 WORD_BITS, PAIR_BITS = 20, 18
 PAIRS_PER_PARTITION = 1_500_000
+#: Documents are exploded in chunks of so many bytes: large enough to fill the pieces of many partitions.
+EXPLODE_BYTES = 4 << 20
+#: Logarithms are added as whole multiples of 1 / UNIT.
+UNIT = float(1 << 24)
+_PAIR = (np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.uint8)
+_SUM = (np.uint32, np.uint32, np.uint32, np.uint64)
 
 
 def _slot(hash: np.ndarray, bits: int) -> np.ndarray:
@@ -41,6 +49,20 @@ def _pairs(w: textnum.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[same], w.hash[same], w.hash[same + 1]
 
 
+def _pack(columns: list[np.ndarray], kinds: tuple) -> bytes:
+    """Columns of whole numbers, bytes of equal weight together: sorted and
+    small numbers then compress well."""
+    planes = (np.ascontiguousarray(x, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes() for x, kind in zip(columns, kinds))
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, n: int, kinds: tuple) -> list[np.ndarray]:
+    widths = [np.dtype(kind).itemsize for kind in kinds]
+    planes = np.frombuffer(pa.decompress(packed, n * sum(widths), codec="zstd", asbytes=True), np.uint8)
+    cuts = n * np.cumsum([0, *widths])
+    return [np.ascontiguousarray(planes[i:j].reshape(w, n).T).view(kind)[:, 0] for i, j, w, kind in zip(cuts, cuts[1:], widths, kinds)]
+
+
 def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return textnum.mix(a * textnum.BASE + b)
 
@@ -87,7 +109,7 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
 
     def exploded(batches):
         for batch in batches:
-            for c in textnum.chunks(batch.column(1)):
+            for c in textnum.chunks(batch.column(1), EXPLODE_BYTES):
                 rows = batch.column(0).slice(c.first, c.n).to_numpy()
                 doc, a, b = _pairs(textnum.words(c))
                 if not len(doc):
@@ -107,31 +129,20 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
                 cuts = np.searchsorted(part[order], np.arange(n_parts + 1))
                 for p in np.flatnonzero(np.diff(cuts)):
                     o = order[cuts[p] : cuts[p + 1]]
-                    own, at = np.unique(doc[o], return_inverse=True)
-                    flags = (hot_word[o].astype(np.uint8) | (hot_pair[o].astype(np.uint8) << 1)).tobytes()
-                    columns = ((a[o] >> np.uint64(32)).astype(np.uint32), (b[o] >> np.uint64(32)).astype(np.uint32), np.where(hot_pair[o], _slot(ab[o], PAIR_BITS), 0).astype(np.uint32), at.astype(np.uint32), times[o].astype(np.uint32))
-                    # bytes of equal weight together: sorted and small numbers then compress well
-                    planes = b"".join(x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in columns)
-                    packed = pa.compress(planes + flags, codec="zstd", asbytes=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array(rows[:1]), pa.array([len(o)], pa.int32()), pa.array([own.astype(np.int32)], pa.list_(pa.int32())), pa.array([packed], pa.binary())], names=["part", "chunk", "n", "rows", "packed"])
-
-    def unpack(raw: bytes, n: int, k: int) -> list[np.ndarray]:
-        planes = np.frombuffer(raw, np.uint8)
-        return [np.ascontiguousarray(planes[4 * n * j : 4 * n * (j + 1)].reshape(4, n).T).view(np.uint32)[:, 0] for j in range(k)]
+                    flags = hot_word[o].astype(np.uint8) | (hot_pair[o].astype(np.uint8) << 1)
+                    columns = [a[o] >> np.uint64(32), b[o] >> np.uint64(32), np.where(hot_pair[o], _slot(ab[o], PAIR_BITS), 0), doc[o], times[o], flags]
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array(rows[:1]), pa.array([len(o)], pa.int32()), pa.array([_pack(columns, _PAIR)], pa.binary())], names=["part", "chunk", "n", "packed"])
 
     def counted(group: pa.Table) -> pa.Table:
-        a, b, doc, times, flags, slot_ab, rows, sizes, chunks, at = [], [], [], [], [], [], [], [], [], 0
-        for r in group.to_pylist():
-            n = r["n"]
-            raw = pa.decompress(r["packed"], 21 * n, codec="zstd", asbytes=True)
-            for out, x in zip((a, b, slot_ab, doc, times), unpack(raw, n, 5)):
-                out.append(x if out is not doc else x.astype(np.int64) + at)
-            flags.append(np.frombuffer(raw, np.uint8)[20 * n :])
-            rows.append(np.array(r["rows"], np.int32))
-            at += len(rows[-1])
-            sizes.append(len(rows[-1]))
-            chunks.append(r["chunk"])
-        a, b, doc, times, flags, slot_ab, rows = map(np.concatenate, (a, b, doc, times, flags, slot_ab, rows))
+        pieces, own, at = [], [], 0
+        for n, raw in zip(group["n"].to_pylist(), group["packed"]):
+            pieces.append(_unpack(raw.as_buffer(), n, _PAIR))
+            docs_of, place = np.unique(pieces[-1][3], return_inverse=True)
+            pieces[-1][3] = place + at
+            own.append(docs_of)
+            at += len(docs_of)
+        a, b, slot_ab, doc, times, flags = (np.concatenate(x) for x in zip(*pieces))
+        del pieces
         times = times.astype(np.int64)
         pair = (a.astype(np.uint64) << np.uint64(32)) | b
         _, which = np.unique(pair, return_inverse=True)
@@ -147,24 +158,24 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> Da
         left_ab, left_a = count_ab - times, np.maximum(count_a - own_a, 1)
         seen = left_ab > 0
         log = np.where(seen, np.log(np.maximum(left_ab, 1) / np.maximum(left_a, left_ab)), np.log(BACKOFF * np.maximum(words[(b >> np.uint32(32 - WORD_BITS)).astype(np.int64)] - times, 1) / max(total, 1)))
-        n = np.bincount(doc, weights=times, minlength=len(rows)).astype(np.int64)
-        n_seen = np.bincount(doc, weights=times * seen, minlength=len(rows)).astype(np.int64)
-        log = np.bincount(doc, weights=times * log, minlength=len(rows))
-        cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in (rows, n.astype(np.int32), n_seen.astype(np.int32), log)]
-        return pa.table({"part": group["part"], "chunk": pa.array(chunks, pa.int64()), **dict(zip(("rows", "n", "seen", "log"), lists))})
+        sums = [np.bincount(doc, weights=x, minlength=at) for x in (times, times * ~seen, times * np.rint(-log * UNIT))]
+        cuts = np.cumsum([0, *map(len, own)])
+        packed = [_pack([o, *(x[i:j] for x in sums)], _SUM) for o, i, j in zip(own, cuts, cuts[1:])]
+        return pa.table({"chunk": group["chunk"], "n": pa.array(np.diff(cuts), pa.int32()), "packed": pa.array(packed, pa.binary())})
 
     def added(group: pa.Table) -> pa.Table:
-        group = group.sort_by("part")  # a fixed order of addition
-        columns = [np.concatenate([x.values.to_numpy() for x in group[c]]) for c in ("rows", "n", "seen", "log")]
-        row, at = np.unique(columns[0], return_inverse=True)
-        sums = [np.bincount(at, weights=x) for x in columns[1:]]
-        row = row.astype(np.int64) + group["chunk"][0].as_py()  # rows of a chunk are numbered one after the other
-        return pa.table({"row": row, "n": sums[0].astype(np.int64), "seen": sums[1].astype(np.int64), "log": sums[2]})
+        pieces = [_unpack(raw.as_buffer(), n, _SUM) for n, raw in zip(group["n"].to_pylist(), group["packed"])]
+        doc, n, new, minus_log = (np.concatenate(x) for x in zip(*pieces))
+        own, at = np.unique(doc, return_inverse=True)
+        sums = [np.zeros(len(own), np.int64) for _ in range(3)]
+        for out, x in zip(sums, (n, new, minus_log)):
+            np.add.at(out, at, x.astype(np.int64))
+        row = own.astype(np.int64) + group["chunk"][0].as_py()  # rows of a chunk are numbered one after the other
+        return pa.table({"row": row, "n": sums[0], "seen": sums[0] - sums[1], "log": -sums[2] / UNIT})
 
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    packed = numbered.select("row", "text").mapInArrow(exploded, "part int, chunk long, n int, rows array<int>, packed binary")
-    parts = packed.groupBy("part").applyInArrow(counted, "part int, chunk long, rows array<int>, n array<int>, seen array<int>, log array<double>")
+    packed = numbered.select("row", "text").mapInArrow(exploded, "part int, chunk long, n int, packed binary")
+    parts = packed.groupBy("part").applyInArrow(counted, "chunk long, n int, packed binary")
     sums = parts.groupBy("chunk").applyInArrow(added, "row long, n long, seen long, log double")
     out = numbered.select("doc_id", "row").join(sums, "row", "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_pairs"), F.coalesce("seen", F.lit(0)).alias("n_seen"), F.round(F.col("log") / F.col("n"), 6).alias("log_score"))
