@@ -2,8 +2,8 @@
 
 A text is a vector of three blocks: buckets of words and pairs of neighbouring
 words, buckets of runs of four bytes, and a few bins of its repetition.  The
-first two hold log(1 + count), scaled to length one.  Models are fitted in the driver on a bounded sample of rows
-whose features the executors have computed; scoring runs in Arrow batches.
+first two hold log(1 + count), scaled to length one.  Models are fitted in one
+task on the features of a bounded sample of rows; scoring runs in Arrow batches.
 """
 
 from __future__ import annotations
@@ -109,30 +109,38 @@ def score_column(model: Model, text: Column) -> Column:
     return scored(text)
 
 
-def sample_features(docs: DataFrame, chosen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(doc_ids, features as float16) of the rows of ``docs`` whose doc_id is in ``chosen``.
+def learn(docs: DataFrame, chosen: DataFrame, train: Callable[[np.ndarray, np.ndarray], Model]) -> Model:
+    """``train(features as float16, labels)`` of the rows of ``docs`` whose
+    doc_id is in ``chosen`` (doc_id, label: distinct ids and whole numbers).
 
-    ``chosen`` is a bounded list of ids and is broadcast, so no text moves
-    before its features are computed.  A repeated id gives one row.
+    ``chosen`` is bounded and broadcast, so no text moves before its features
+    are computed.  The features (sparse, at most one row per chosen id, in the
+    order of the ids) meet in one task, which trains; only the weights come to
+    the driver.  A lost executor trains again, to the same model.
     """
 
     def rows(batches):
         for b in batches:
-            for c in textnum.chunks(b.column(1)):
+            for c in textnum.chunks(b.column(2)):
                 packed = [np.flatnonzero(r).astype(np.uint16).tobytes() + r[r != 0].tobytes() for r in features(c).astype(np.float16)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n), pa.array(packed, pa.binary())], names=["doc_id", "x"])
-
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").mapInArrow(rows, "doc_id long, x binary")
-    got = found.groupBy("doc_id").agg(F.min("x").alias("x")).toArrow().sort_by("doc_id")
-    x = np.zeros((got.num_rows, N_FEATURES), np.float16)
-    for k, row in enumerate(got["x"]):  # places of the features that are not zero, then their values
-        raw = row.as_buffer()
-        half = raw.size // 2
-        x[k, np.frombuffer(raw, np.uint16, half // 2)] = np.frombuffer(raw, np.float16, half // 2, half)
-    ids = got["doc_id"].to_numpy().copy()
-    del got
-    pa.default_memory_pool().release_unused()
-    return ids, x
+                part = [b.column(k).slice(c.first, c.n) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([*part, pa.array(packed, pa.binary())], names=["doc_id", "label", "x"])
+
+    def trained(got: pa.Table) -> pa.Table:
+        got = got.sort_by("doc_id")
+        x = np.zeros((got.num_rows, N_FEATURES), np.float16)
+        for k, row in enumerate(got["x"]):  # places of the features that are not zero, then their values
+            raw = row.as_buffer()
+            half = raw.size // 2
+            x[k, np.frombuffer(raw, np.uint16, half // 2)] = np.frombuffer(raw, np.float16, half // 2, half)
+        m = train(x, got["label"].to_numpy())
+        return pa.table({"weights": pa.array([m.weights.astype(np.float64).tobytes()], pa.binary()), "bias": [float(m.bias)], "slope": [float(m.slope)], "shift": [float(m.shift)]})
+
+    labelled = F.broadcast(chosen.select("doc_id", F.col("label").cast("long").alias("label")))
+    found = docs.select("doc_id", "text").join(labelled, "doc_id").select("doc_id", "label", "text").mapInArrow(rows, "doc_id long, label long, x binary")
+    sample = found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x"))
+    models = sample.groupBy().applyInArrow(trained, "weights binary, bias double, slope double, shift double").collect()
+    return Model(np.frombuffer(models[0].weights, np.float64), models[0].bias, models[0].slope, models[0].shift) if models else UNDECIDED
 
 
 def adam(gradient: Callable[[np.ndarray, float], tuple[np.ndarray, float]], steps: int, rate: float) -> tuple[np.ndarray, float]:

@@ -75,6 +75,22 @@ def calibrate(model: linear.Model, p: np.ndarray, u: np.ndarray, prior: float) -
     return linear.Model(model.weights, model.bias, best[1], best[2])
 
 
+def train(x: np.ndarray, is_positive: np.ndarray) -> linear.Model:
+    """Estimate the prior, minimise the risk on three quarters of the rows and
+    calibrate on the rest; undecided with fewer than four rows of a kind."""
+    # in an order of chance, so that slices, which copy nothing, are random parts
+    chance = np.random.default_rng(4).permutation(len(x))
+    good = is_positive[chance] == 1
+    p, u = x[chance[good]].astype(np.float32), x[chance[~good]].astype(np.float32)
+    if len(p) < 4 or len(u) < 4:
+        return linear.UNDECIDED
+    hp, hu = len(p) // 2, len(u) // 2
+    first = linear.logistic(np.vstack([p[:hp], u[:hu]]), np.repeat([1.0, 0.0], [hp, hu]), steps=100)
+    prior = class_prior(first.margin(p[hp:]), first.margin(u[hu:]))
+    tp, tu = len(p) * 3 // 4, len(u) * 3 // 4
+    return calibrate(nn_pu(p[:tp], u[:tu], prior), p[tp:], u[tu:], prior)
+
+
 def fit(docs: DataFrame, labels: DataFrame, n_positive: int = N_POSITIVE, n_unlabelled: int = N_UNLABELLED) -> linear.Model:
     """Learn from at most ``n_positive`` rows labelled good and ``n_unlabelled``
     rows without a label, both outside the held-out fold and chosen by the
@@ -88,21 +104,8 @@ def fit(docs: DataFrame, labels: DataFrame, n_positive: int = N_POSITIVE, n_unla
     marked = labels.filter(open_rows).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     positive = marked.filter("quality = 1").orderBy(chance).limit(n_positive)
     unlabelled = docs.filter(open_rows).select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti").distinct().orderBy(chance).limit(n_unlabelled)
-    chosen = positive.select("doc_id", F.lit(True).alias("good")).union(unlabelled.select("doc_id", F.lit(False)))
-    good = {r.doc_id for r in chosen.collect() if r.good}  # at most n_positive + n_unlabelled ids
-    ids, x = linear.sample_features(docs, chosen)
-    is_p = np.array([i in good for i in ids.tolist()], bool)
-    # in an order of chance, so that slices, which copy nothing, are random parts
-    chance = np.random.default_rng(4).permutation(len(x))
-    p, u = x[chance[is_p[chance]]].astype(np.float32), x[chance[~is_p[chance]]].astype(np.float32)
-    del x
-    if len(p) < 4 or len(u) < 4:
-        return linear.UNDECIDED
-    hp, hu = len(p) // 2, len(u) // 2
-    first = linear.logistic(np.vstack([p[:hp], u[:hu]]), np.repeat([1.0, 0.0], [hp, hu]), steps=100)
-    prior = class_prior(first.margin(p[hp:]), first.margin(u[hu:]))
-    tp, tu = len(p) * 3 // 4, len(u) * 3 // 4
-    return calibrate(nn_pu(p[:tp], u[:tu], prior), p[tp:], u[tu:], prior)
+    chosen = positive.select("doc_id", F.lit(1).alias("label")).union(unlabelled.select("doc_id", F.lit(0)))
+    return linear.learn(docs, chosen, train)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **sample) -> DataFrame:

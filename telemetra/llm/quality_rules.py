@@ -69,6 +69,15 @@ def count(chunk: textnum.Chunk) -> np.ndarray:
     return out
 
 
+def train(x: np.ndarray, quality: np.ndarray) -> linear.Model:
+    """A logistic regression on three quarters of the rows, calibrated on the rest."""
+    y = quality.astype(float)
+    kept_back = np.arange(len(y)) % 4 == 3
+    if len(set(y[~kept_back])) < 2:
+        return linear.UNDECIDED
+    return linear.calibrate(linear.logistic(x[~kept_back], y[~kept_back]), x[kept_back].astype(np.float32), y[kept_back])
+
+
 def fit(docs: DataFrame, labels: DataFrame, n_labelled: int = N_LABELLED) -> linear.Model:
     """Learn from at most ``n_labelled`` labelled rows, chosen by the hash of
     their doc_id; every fourth is kept back to calibrate the probabilities.
@@ -77,14 +86,8 @@ def fit(docs: DataFrame, labels: DataFrame, n_labelled: int = N_LABELLED) -> lin
     be learnt: every probability is 0.5 and the rules alone decide.
     """
     marked = labels.dropna(subset=["doc_id", "quality"]).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other")
-    chosen = marked.orderBy(F.xxhash64("doc_id", F.lit(10))).limit(n_labelled).select("doc_id", "quality")
-    quality = {r.doc_id: r.quality for r in chosen.collect()}  # at most n_labelled
-    ids, x = linear.sample_features(docs, chosen)
-    y = np.array([quality[i] for i in ids.tolist()], float)
-    kept_back = np.arange(len(y)) % 4 == 3
-    if len(set(y[~kept_back])) < 2:
-        return linear.UNDECIDED
-    return linear.calibrate(linear.logistic(x[~kept_back], y[~kept_back]), x[kept_back].astype(np.float32), y[kept_back])
+    chosen = marked.orderBy(F.xxhash64("doc_id", F.lit(10))).limit(n_labelled).select("doc_id", F.col("quality").alias("label"))
+    return linear.learn(docs, chosen, train)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, least_words: int = 10, most_repeat: int = 20, **sample) -> DataFrame:
