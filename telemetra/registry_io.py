@@ -149,8 +149,7 @@ def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = LakeTable(spark, f"{root}/lake", f"items_{_uid()}", ("device_id", "timestamp"), ("device_id",))
     message_bodies(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-1")
     start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
-    fold_log(table, spark, log)
-    done = spark.read.schema("batch_id bigint").parquet(log).agg(F.max("batch_id")).collect()[0][0]
+    done = fold_log(table, spark, log)
     resent_messages(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-2")
     start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
     fold_log(table, spark, log, after_batch=done)

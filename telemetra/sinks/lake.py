@@ -41,12 +41,7 @@ from ..operators.staging import stage
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _CURRENT = "telemetra.current"
-_MANIFEST = "telemetra.manifest"
 COMMIT_COL = "_commit"
-#: Above this many partitions a version records its partition locations in a
-#: small parquet manifest (one read per commit instead of one catalog lookup
-#: per partition).
-MANIFEST_MIN_PARTITIONS = 64
 #: Kept partitions are attached this many per ALTER TABLE statement.
 ADD_PARTITION_CHUNK = 500
 
@@ -139,45 +134,11 @@ class LakeTable:
             out.append((tuple(vals), spec))
         return out
 
-    def _location_of(self, table: str, vals: tuple) -> str:
-        rows = self.spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({self._spec(vals)})").collect()
-        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
-
-    def _old_locations(self, version: str) -> dict[tuple, str]:
-        """Partition values -> location in committed ``version``.
-
-        From this object's own last commit when it made ``version``; else from
-        the version's manifest (tables with many partitions); else one catalog
-        lookup per partition (few partitions, no Spark job).
-        """
-        cached = getattr(self, "_locations", None)
-        if cached is not None and cached[0] == version:
-            return dict(cached[1])
-        if self._property(_MANIFEST) == "1":
-            return self._read_manifest(version)
-        table = self._version_table(version)
-        return {vals: self._location_of(table, vals) for vals, _ in self._partitions_of(table)}
-
-    def _manifest_path(self, version: str) -> str:
-        return f"{self.path}/{version}/_partitions"
-
-    def _read_manifest(self, version: str) -> dict[tuple, str]:
-        """Partition values -> location of a committed version (one small read).
-
-        The manifest has one row per partition (metadata-sized), so a commit
-        needs no per-partition catalog round trip to find where untouched
-        partitions live.
-        """
-        cols = ", ".join(f"`{c}` string" for c in self._levels)
-        rows = self.spark.read.schema(f"{cols}, location string").parquet(self._manifest_path(version)).collect()
-        return {tuple(r[c] for c in self._levels): r["location"] for r in rows}
-
-    def _write_manifest(self, version: str, locations: dict[tuple, str]) -> None:
-        cols = ", ".join(f"`{c}` string" for c in self._levels)
-        rows = [(*[None if v is None else str(v) for v in vals], loc) for vals, loc in locations.items()]
-        self.spark.createDataFrame(rows, f"{cols}, location string").coalesce(1).write.parquet(
-            self._manifest_path(version)
-        )
+    def _locations(self, version: str) -> dict[tuple, str]:
+        """Partition values -> location in ``version``: below the folder of the
+        commit that wrote the partition, which is its last partition value."""
+        parts = self._partitions_of(self._version_table(version))
+        return {vals: f"{self.path}/{vals[-1]}/{spec}" for vals, spec in parts}
 
     # --- commit ---------------------------------------------------------------------
 
@@ -214,9 +175,8 @@ class LakeTable:
             f"PARTITIONED BY ({', '.join(self._levels)}) LOCATION '{location}'"
         )
         self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-        locations = {vals: f"{location}/{spec}" for vals, spec in self._partitions_of(table)}
         if previous is not None and (append or touched is not None):
-            old = self._old_locations(previous)
+            old = self._locations(previous)
             if append:
                 keep = old
             else:
@@ -228,15 +188,10 @@ class LakeTable:
                     f"PARTITION ({self._spec(v)}) LOCATION '{loc}'" for v, loc in items[i : i + ADD_PARTITION_CHUNK]
                 )
                 self.spark.sql(f"ALTER TABLE {table} ADD {adds}")
-            locations.update(keep)
-        with_manifest = len(locations) > MANIFEST_MIN_PARTITIONS
-        if with_manifest:
-            self._write_manifest(version, locations)
-        self._locations = (version, locations)
         visible = ", ".join(f"`{f.name}`" for f in self._columns(rows.schema))
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES "
-            f"('{_CURRENT}'='{version}', '{_MANIFEST}'='{int(with_manifest)}') AS SELECT {visible} FROM {table}"
+            f"('{_CURRENT}'='{version}') AS SELECT {visible} FROM {table}"
         )
         return version
 

@@ -161,12 +161,20 @@ def latest_items(
     return latest.select(*keys, *[r for r in readings if r not in keys], "extras")
 
 
-def fold_log(table, spark: SparkSession, log_dir: str, after_batch: int = -1) -> str:
-    """Fold the ingest log (batches after ``after_batch``) into a lake table.
+def fold_log(table, spark: SparkSession, log_dir: str, after_batch: int = -1) -> int:
+    """Fold the ingest log (batches after ``after_batch``) into a lake table;
+    returns the last batch folded, the ``after_batch`` of the next fold.
+
+    That batch is read first and bounds the fold, so one that lands meanwhile
+    is left to the next fold.  Without a new batch nothing is committed.
 
     A batch upsert (K2) with the arrival order as precombine: the lake table
     ends up with exactly the rows :func:`latest_items` shows.  Only the
     partitions the new batches touch are rewritten.
     """
-    good = read_log(spark, log_dir).where((F.col("reason").isNull()) & (F.col("batch_id") > after_batch))
-    return table.upsert(good.drop("body", "reason"), list(ARRIVAL_ORDER))
+    last = spark.read.schema("batch_id bigint").parquet(log_dir).agg(F.max("batch_id")).first()[0]
+    if last is None or last <= after_batch:
+        return after_batch
+    good = read_log(spark, log_dir).where(F.col("reason").isNull() & (F.col("batch_id") > after_batch) & (F.col("batch_id") <= last))
+    table.upsert(good.drop("body", "reason"), list(ARRIVAL_ORDER))
+    return last

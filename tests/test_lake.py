@@ -106,12 +106,9 @@ def test_clean_leaves_no_null_readings_and_keeps_present_values(spark):
         assert joined.where(F.col(f"a.{r}").isNotNull() & (F.col(f"a.{r}") != F.col(f"b.{r}"))).count() == 0
 
 
-def test_partition_locations_survive_a_fresh_table_object(spark, workdir, monkeypatch):
-    import telemetra.sinks.lake as lake
-
-    for threshold in (64, 1):  # catalog lookups, then the manifest
-        monkeypatch.setattr(lake, "MANIFEST_MIN_PARTITIONS", threshold)
-        t = _table(spark, f"{workdir}/{threshold}")
+def test_partition_locations_survive_a_fresh_table_object(spark, workdir):
+    for k in range(2):
+        t = _table(spark, f"{workdir}/{k}")
         t.insert_overwrite(spark.createDataFrame([("a", "1", 1, 1.0), ("b", "1", 1, 2.0), (None, "1", 1, 3.0)], SCHEMA))
         fresh = LakeTable(spark, t.path, t.name, t.keys, t.partition_by)
         fresh.upsert(spark.createDataFrame([("a", "1", 2, 5.0)], SCHEMA), ["seq"])
@@ -127,7 +124,6 @@ def test_many_partitions_are_attached_in_chunks(spark, workdir, monkeypatch):
     import telemetra.sinks.lake as lake
 
     monkeypatch.setattr(lake, "ADD_PARTITION_CHUNK", 2)
-    monkeypatch.setattr(lake, "MANIFEST_MIN_PARTITIONS", 3)
     t = _table(spark, workdir)
     rows = [(f"d{i}", "1", 1, float(i)) for i in range(7)]
     t.insert_overwrite(spark.createDataFrame(rows, SCHEMA))

@@ -57,9 +57,9 @@ def test_fold_into_lake_equals_the_key_view(spark, workdir):
     _write(spark, f"{src}/a1", [_msg("d1", "t1", 1.0), _msg("d2", "t1", 2.0), "nope"])
     start_ingest(spark, f"{src}/*", log, ck).awaitTermination()
     table = LakeTable(spark, f"{workdir}/lake", f"items_{uuid.uuid4().hex[:8]}", ("device_id", "timestamp"), ("device_id",))
-    fold_log(table, spark, log)
+    assert fold_log(table, spark, log) == 0
     _write(spark, f"{src}/a2", [_msg("d1", "t1", 9.0), _msg("d3", "t2", 3.0)])
     start_ingest(spark, f"{src}/*", log, ck).awaitTermination()
-    fold_log(table, spark, log, after_batch=0)
+    assert fold_log(table, spark, log, after_batch=0) == fold_log(table, spark, log, after_batch=1) == 1
     lake = sorted(tuple(r) for r in table.read().select("device_id", "timestamp", "temperature", "humidity").collect())
     assert lake == _state(spark, log) == [("d1", "t1", 9.0, 1.5), ("d2", "t1", 2.0, 1.5), ("d3", "t2", 3.0, 1.5)]
