@@ -6,20 +6,19 @@ out of them, so that it backs off where no other row has its pair:
     S(b | a) = count(a b) / count(a)  if another row has "a b",
                0.4 * count(b) / N     otherwise (a word no other row has counts once)
 
-The n-gram tables are never gathered.  Rows are exploded into their distinct
-pairs with counts, packed column-wise per partition of the hash of ``a``; a
-partition counts its pairs and first words, joins the counts to the exploded
-pairs in place and returns partial sums for the rows of each chunk of
-documents, packed in the same way, which are added up chunk by chunk.  The
-logarithms in them are whole multiples of 2^-24, so that their sum does not
-depend on the order of addition.  A word
-or pair that would outgrow a partition (a third of all words may be one) is
-known beforehand from count sketches over all rows; such a word is split by
-its pair, such a pair by its rows, and both take their counts from the sketch.
+All counts are exact, and the n-gram tables are never gathered.  Rows are taken
+in chunks of a few megabytes.  A chunk sends each of its distinct words and
+pairs once, with its count, to the partition of the n-gram's hash; that adds
+up the counts of all chunks and answers each chunk with the totals of the
+n-grams it sent.  An n-gram has at most one entry per chunk, however frequent
+it is, so none outgrows its partition.  The answers meet the chunk's texts
+again, where whole rows are scored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,154 +27,178 @@ from pyspark.sql import functions as F
 from . import textnum
 
 BACKOFF = 0.4
-WORD_BITS, PAIR_BITS = 20, 18
+#: Entries (n-grams of a chunk) per partition of the count tables, about.
 PAIRS_PER_PARTITION = 1_500_000
-#: Documents are exploded in chunks of so many bytes: large enough to fill the pieces of many partitions.
-EXPLODE_BYTES = 4 << 20
-#: Logarithms are added as whole multiples of 1 / UNIT.
-UNIT = float(1 << 24)
-_PAIR = (np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.uint8)
-_SUM = (np.uint32, np.uint32, np.uint32, np.uint64)
-
-
-def _slot(hash: np.ndarray, bits: int) -> np.ndarray:
-    return (hash >> np.uint64(64 - bits)).astype(np.int64)
+#: Bytes of text in a chunk, or a single longer row.
+CHUNK_BYTES = 4 << 20
+_SENT = (np.uint64, np.uint32, np.uint32)
+_TOTAL = (np.uint64, np.uint64)
+_WORD = np.uint64(0xD6E8FEB86659FD93)
+_FIELDS = "chunk long, part int, n int, check long, packed binary"
 
 
 def _pairs(w: textnum.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first, second) of neighbouring words."""
+    """(document, first, second) of neighbouring words, as places among the words."""
     doc = textnum.documents_of(w.offsets)
     same = np.flatnonzero(doc[:-1] == doc[1:]) if len(doc) > 1 else np.zeros(0, np.int64)
-    return doc[same], w.hash[same], w.hash[same + 1]
+    return doc[same], same, same + 1
+
+
+def _squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _expand(packed: pa.Scalar) -> bytes:
+    raw = packed.as_buffer()
+    return pa.decompress(raw.slice(8), int.from_bytes(raw.slice(0, 8), "little"), codec="zstd", asbytes=True)
 
 
 def _pack(columns: list[np.ndarray], kinds: tuple) -> bytes:
     """Columns of whole numbers, bytes of equal weight together: sorted and
     small numbers then compress well."""
-    planes = (np.ascontiguousarray(x, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes() for x, kind in zip(columns, kinds))
-    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+    return _squeeze(b"".join(np.ascontiguousarray(x, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes() for x, kind in zip(columns, kinds)))
 
 
-def _unpack(packed: bytes, n: int, kinds: tuple) -> list[np.ndarray]:
+def _unpack(packed: pa.Scalar, n: int, kinds: tuple) -> list[np.ndarray]:
     widths = [np.dtype(kind).itemsize for kind in kinds]
-    planes = np.frombuffer(pa.decompress(packed, n * sum(widths), codec="zstd", asbytes=True), np.uint8)
+    planes = np.frombuffer(_expand(packed), np.uint8)
     cuts = n * np.cumsum([0, *widths])
     return [np.ascontiguousarray(planes[i:j].reshape(w, n).T).view(kind)[:, 0] for i, j, w, kind in zip(cuts, cuts[1:], widths, kinds)]
 
 
-def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return textnum.mix(a * textnum.BASE + b)
+def _check(keys: np.ndarray) -> int:
+    return int(np.bitwise_xor.reduce(keys, initial=np.uint64(0)).view(np.int64))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, textnum.Chunk]]:
+    """(first row, its texts) of each chunk of a partition's (row, text): cut
+    by the rows' lengths alone, whatever the batches."""
+    data, lengths, size, first = [], [], 0, 0
+
+    def whole() -> textnum.Chunk:
+        return textnum.Chunk(0, np.concatenate(data), np.concatenate([[0], np.cumsum(np.concatenate(lengths))]))
+
+    for b in batches:
+        for c in textnum.chunks(b.column(1), limit):
+            at = 0
+            while at < c.n:
+                end = int(np.searchsorted(c.offsets, c.offsets[at] + limit - size, side="right")) - 1
+                end = max(end, at + (not data))
+                if end > at:
+                    if not data:
+                        first = b.column(0)[c.first + at].as_py()
+                    data.append(c.data[c.offsets[at] : c.offsets[end]])
+                    lengths.append(np.diff(c.offsets[at : end + 1]))
+                    size += len(data[-1])
+                if end < c.n:
+                    yield first, whole()
+                    data, lengths, size = [], [], 0
+                at = end
+    if data:
+        yield first, whole()
 
 
-def sketches(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all words and of all pairs of all rows, by the top bits of
-    their hash: two tables of fixed size."""
+def _ngrams(chunk: textnum.Chunk) -> tuple[textnum.Words, tuple, np.ndarray, np.ndarray]:
+    """Words, pairs, and the keys of all words, then of all pairs, of a chunk:
+    the distinct ones, sorted, and the place of each among them."""
+    w = textnum.words(chunk)
+    doc, a, b = _pairs(w)
+    keys = np.concatenate([textnum.mix(w.hash ^ _WORD), textnum.mix(w.hash[a] * textnum.BASE + w.hash[b])])
+    return w, (doc, a, b), *np.unique(keys, return_inverse=True)
 
-    def partial(batches):
-        words, pairs = np.zeros(1 << WORD_BITS, np.int64), np.zeros(1 << PAIR_BITS, np.int64)
+
+def _parts(keys: np.ndarray, n_parts: int) -> np.ndarray:
+    """Sorted keys fall into partitions one after the other: the cuts."""
+    return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32), np.arange(n_parts + 1))
+
+
+def count_words(docs: DataFrame) -> int:
+    """The number of words of all rows."""
+
+    def counted(batches):
         for b in batches:
-            for c in textnum.chunks(b.column(0)):
-                w = textnum.words(c)
-                words += np.bincount(_slot(w.hash, WORD_BITS), minlength=len(words))
-                _, x, y = _pairs(w)
-                pairs += np.bincount(_slot(_pair_hash(x, y), PAIR_BITS), minlength=len(pairs))
-        both = np.concatenate([words, pairs])
-        used = np.flatnonzero(both)
-        for i in range(0, len(used), 1 << 16):
-            part = used[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(both[part])], names=["slot", "n"])
-
-    total = docs.select("text").mapInArrow(partial, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    both = np.zeros((1 << WORD_BITS) + (1 << PAIR_BITS), np.int64)
-    both[total["slot"].to_numpy()] = total["n"].to_numpy()
-    return both[: 1 << WORD_BITS], both[1 << WORD_BITS :]
-
-
-def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION) -> DataFrame:
+            n = sum(len(textnum.pieces(c, textnum.NOT_SPACE[c.data])[0]) for c in textnum.chunks(b.column(0)))
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return docs.select("text").mapInArrow(counted, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, n_pairs, n_seen, log_score) for every row of ``docs`` (doc_id, text).
 
     Words are what stands between white space.  ``n_pairs`` counts the row's
     neighbouring words, ``n_seen`` those that another row has too,
     ``log_score`` is the mean natural logarithm of S over them, rounded to six
     places; NULL for a NULL, empty or one-word text.  Repeated rows are rows
-    like others: they find their pairs in each other.  count(b) in the backoff
-    comes from a sketch of 2^20 counters over all rows, which never counts
-    too little.  An empty table gives no rows.
+    like others: they find their pairs in each other.  Neither bound changes
+    a result.  An empty table gives no rows.
     """
-    words, pairs = sketches(docs)
-    total = int(words.sum())
-    n_parts = max(1, -(-total // pairs_per_partition))
-    heavy = max(1, pairs_per_partition // 2)
-
-    def exploded(batches):
-        for batch in batches:
-            for c in textnum.chunks(batch.column(1), EXPLODE_BYTES):
-                rows = batch.column(0).slice(c.first, c.n).to_numpy()
-                doc, a, b = _pairs(textnum.words(c))
-                if not len(doc):
-                    continue
-                ab = _pair_hash(a, b)
-                order = np.lexsort((ab, doc))
-                doc, a, b, ab = doc[order], a[order], b[order], ab[order]
-                first = np.flatnonzero(np.concatenate([[True], (ab[1:] != ab[:-1]) | (doc[1:] != doc[:-1])]))
-                times = np.diff(np.append(first, len(ab)))
-                doc, a, b, ab = doc[first], a[first], b[first], ab[first]
-                by = a.copy()
-                hot_word, hot_pair = words[_slot(a, WORD_BITS)] > heavy, pairs[_slot(ab, PAIR_BITS)] > heavy
-                by[hot_word] = ab[hot_word]
-                by[hot_pair] = textnum.mix(ab[hot_pair] ^ rows[doc[hot_pair]].astype(np.uint64))
-                part = (textnum.mix(by) % np.uint64(n_parts)).astype(np.int64)
-                order = np.lexsort((b, a, part))
-                cuts = np.searchsorted(part[order], np.arange(n_parts + 1))
-                for p in np.flatnonzero(np.diff(cuts)):
-                    o = order[cuts[p] : cuts[p + 1]]
-                    flags = hot_word[o].astype(np.uint8) | (hot_pair[o].astype(np.uint8) << 1)
-                    columns = [a[o] >> np.uint64(32), b[o] >> np.uint64(32), np.where(hot_pair[o], _slot(ab[o], PAIR_BITS), 0), doc[o], times[o], flags]
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array(rows[:1]), pa.array([len(o)], pa.int32()), pa.array([_pack(columns, _PAIR)], pa.binary())], names=["part", "chunk", "n", "packed"])
-
-    def counted(group: pa.Table) -> pa.Table:
-        pieces, own, at = [], [], 0
-        for n, raw in zip(group["n"].to_pylist(), group["packed"]):
-            pieces.append(_unpack(raw.as_buffer(), n, _PAIR))
-            docs_of, place = np.unique(pieces[-1][3], return_inverse=True)
-            pieces[-1][3] = place + at
-            own.append(docs_of)
-            at += len(docs_of)
-        a, b, slot_ab, doc, times, flags = (np.concatenate(x) for x in zip(*pieces))
-        del pieces
-        times = times.astype(np.int64)
-        pair = (a.astype(np.uint64) << np.uint64(32)) | b
-        _, which = np.unique(pair, return_inverse=True)
-        count_ab = np.bincount(which, weights=times)[which]
-        hot_pair, hot_word = (flags & 2) > 0, (flags & 1) > 0
-        count_ab[hot_pair] = pairs[slot_ab[hot_pair]]
-        _, word = np.unique(a, return_inverse=True)
-        count_a = np.bincount(word, weights=times)[word]
-        count_a[hot_word | hot_pair] = words[(a[hot_word | hot_pair] >> np.uint32(32 - WORD_BITS)).astype(np.int64)]
-        # the row's own pairs with this first word
-        _, mine = np.unique(doc * (word.max() + 1) + word, return_inverse=True)
-        own_a = np.bincount(mine, weights=times)[mine]
-        left_ab, left_a = count_ab - times, np.maximum(count_a - own_a, 1)
-        seen = left_ab > 0
-        log = np.where(seen, np.log(np.maximum(left_ab, 1) / np.maximum(left_a, left_ab)), np.log(BACKOFF * np.maximum(words[(b >> np.uint32(32 - WORD_BITS)).astype(np.int64)] - times, 1) / max(total, 1)))
-        sums = [np.bincount(doc, weights=x, minlength=at) for x in (times, times * ~seen, times * np.rint(-log * UNIT))]
-        cuts = np.cumsum([0, *map(len, own)])
-        packed = [_pack([o, *(x[i:j] for x in sums)], _SUM) for o, i, j in zip(own, cuts, cuts[1:])]
-        return pa.table({"chunk": group["chunk"], "n": pa.array(np.diff(cuts), pa.int32()), "packed": pa.array(packed, pa.binary())})
+    total = count_words(docs)
+    n_parts = max(1, -(-2 * total // pairs_per_partition))
+
+    def sent(batches):
+        for first, chunk in _gathered(batches, chunk_bytes):
+            w, _, keys, place = _ngrams(chunk)
+            n = np.bincount(place, minlength=len(keys))
+            last = np.bincount(place[w.offsets[1:][np.diff(w.offsets) > 0] - 1], minlength=len(keys))
+            cuts = _parts(keys, n_parts)
+            for p in np.flatnonzero(np.diff(cuts)):
+                own = slice(cuts[p], cuts[p + 1])
+                packed = _pack([keys[own], n[own], last[own]], _SENT)
+                yield pa.RecordBatch.from_pylist([{"chunk": first, "part": p, "n": len(keys[own]), "check": _check(keys[own]), "packed": packed}], schema)
+
+    def texts(batches):
+        for first, chunk in _gathered(batches, chunk_bytes):
+            packed = _squeeze(chunk.offsets.astype(np.int64).tobytes() + chunk.data.tobytes())
+            yield pa.RecordBatch.from_pylist([{"chunk": first, "part": -1, "n": chunk.n, "check": 0, "packed": packed}], schema)
 
     def added(group: pa.Table) -> pa.Table:
-        pieces = [_unpack(raw.as_buffer(), n, _SUM) for n, raw in zip(group["n"].to_pylist(), group["packed"])]
-        doc, n, new, minus_log = (np.concatenate(x) for x in zip(*pieces))
-        own, at = np.unique(doc, return_inverse=True)
-        sums = [np.zeros(len(own), np.int64) for _ in range(3)]
-        for out, x in zip(sums, (n, new, minus_log)):
-            np.add.at(out, at, x.astype(np.int64))
-        row = own.astype(np.int64) + group["chunk"][0].as_py()  # rows of a chunk are numbered one after the other
-        return pa.table({"row": row, "n": sums[0], "seen": sums[0] - sums[1], "log": -sums[2] / UNIT})
+        sizes = group["n"].to_pylist()
+        keys, n, last = (np.concatenate(x) for x in zip(*(_unpack(raw, k, _SENT) for k, raw in zip(sizes, group["packed"]))))
+        _, place = np.unique(keys, return_inverse=True)
+        del keys
+        n, last = (np.bincount(place, weights=x)[place] for x in (n, last))
+        cuts = np.cumsum([0, *sizes])
+        packed = [_pack([n[i:j], last[i:j]], _TOTAL) for i, j in zip(cuts, cuts[1:])]
+        return pa.table([group["chunk"], group["part"], group["n"], group["check"], pa.array(packed, pa.binary())], schema=schema)
+
+    def scored(group: pa.Table) -> pa.Table:
+        part = group["part"].to_numpy()
+        text = int(np.flatnonzero(part < 0)[0])
+        raw, n_docs = _expand(group["packed"][text]), group["n"][text].as_py()
+        chunk = textnum.Chunk(0, np.frombuffer(raw, np.uint8, offset=8 * (n_docs + 1)), np.frombuffer(raw, np.int64, n_docs + 1))
+        w, (doc, a, b), keys, place = _ngrams(chunk)
+        count, last = np.zeros(len(keys)), np.zeros(len(keys))
+        cuts, answered = _parts(keys, n_parts), 0
+        for i in np.flatnonzero(part >= 0):
+            own = slice(cuts[part[i]], cuts[part[i] + 1])
+            n = group["n"][i].as_py()
+            if n != len(keys[own]) or group["check"][i].as_py() != _check(keys[own]):
+                raise RuntimeError("the input gave other rows when it was read again")
+            count[own], last[own] = _unpack(group["packed"][i], n, _TOTAL)
+            answered += n
+        if answered != len(keys):
+            raise RuntimeError("the input gave other rows when it was read again")
+        word, pair = place[: len(w.hash)], place[len(w.hash) :]
+        order = np.lexsort((pair, doc))
+        doc, a, b, pair = doc[order], word[a[order]], word[b[order]], pair[order]
+        head = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])])) if len(doc) else np.zeros(0, np.int64)
+        times = np.diff(np.append(head, len(doc)))
+        doc, a, b, pair = doc[head], a[head], b[head], pair[head]
+        # the row's own pairs with this first word
+        _, mine = np.unique(doc * len(keys) + a, return_inverse=True)
+        own_a = np.bincount(mine, weights=times)[mine] if len(mine) else np.zeros(0)
+        left_ab, left_a = count[pair] - times, count[a] - last[a] - own_a
+        seen = left_ab > 0
+        log = np.log(np.where(seen, left_ab / np.maximum(left_a, 1), BACKOFF * np.maximum(count[b] - times, 1) / max(total, 1)))
+        n, n_seen, sums = (np.bincount(doc, weights=x, minlength=n_docs) for x in (times, times * seen, times * log))
+        rows = group["chunk"][0].as_py() + np.arange(n_docs)  # rows of a chunk are numbered one after the other
+        return pa.table({"row": rows, "n": n.astype(np.int64), "seen": n_seen.astype(np.int64), "log": sums})
 
+    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("check", pa.int64()), ("packed", pa.binary())])
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    packed = numbered.select("row", "text").mapInArrow(exploded, "part int, chunk long, n int, packed binary")
-    parts = packed.groupBy("part").applyInArrow(counted, "chunk long, n int, packed binary")
-    sums = parts.groupBy("chunk").applyInArrow(added, "row long, n long, seen long, log double")
+    rows = numbered.select("row", "text")
+    answers = rows.mapInArrow(sent, _FIELDS).groupBy("part").applyInArrow(added, _FIELDS)
+    sums = answers.union(rows.mapInArrow(texts, _FIELDS)).groupBy("chunk").applyInArrow(scored, "row long, n long, seen long, log double")
     out = numbered.select("doc_id", "row").join(sums, "row", "left")
-    return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_pairs"), F.coalesce("seen", F.lit(0)).alias("n_seen"), F.round(F.col("log") / F.col("n"), 6).alias("log_score"))
+    return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_pairs"), F.coalesce("seen", F.lit(0)).alias("n_seen"), F.when(F.col("n") > 0, F.round(F.col("log") / F.col("n"), 6)).alias("log_score"))

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from telemetra.llm import decontam, licenses, lm_score, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
+from telemetra.session import work_dir
 from tests.test_entry import SF, _rows, con  # noqa: F401
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, score string"
@@ -181,6 +182,27 @@ def test_lm_score_against_brute_force(spark, odd):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_lm_score_hot_words_and_pairs(spark):
+    texts = ["the cat the dog the cat " * (1 + i % 4) + f"w{i} w{i % 7} the w{i % 5}" for i in range(60)] + [None, "", "the", "b" * 300 + " the cat"]
+    docs = list(enumerate(texts))
+    words = [(t or "").split() for t in texts]
+    one, two, first = Counter(w for x in words for w in x), Counter(p for x in words for p in zip(x, x[1:])), Counter(w for x in words for w in x[:-1])
+    want = {}
+    for i, x in enumerate(words):
+        own2, own1 = Counter(zip(x, x[1:])), Counter(x[:-1])
+        left = [(two[p] - own2[p], first[p[0]] - own1[p[0]], max(one[p[1]] - own2[p], 1)) for p in zip(x, x[1:])]
+        logs = [math.log(ab / a) if ab else math.log(0.4 * b / sum(one.values())) for ab, a, b in left]
+        want[i] = (len(logs), sum(ab > 0 for ab, _, _ in left), sum(logs) / len(logs) if logs else None)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    frame.write.parquet(path := work_dir(spark, "lm-hot"))
+    for bounds in ({"pairs_per_partition": 20}, {"pairs_per_partition": 20, "chunk_bytes": 200}, {}):
+        got = lm_score.score(spark.read.parquet(path), **bounds).collect()
+        assert len(got) == len(docs)
+        for r in got:
+            assert (r.n_pairs, r.n_seen) == want[r.doc_id][:2]
+            assert r.log_score == (None if want[r.doc_id][2] is None else pytest.approx(want[r.doc_id][2], abs=1e-5))
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
