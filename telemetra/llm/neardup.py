@@ -2,9 +2,11 @@
 
 A document is the weighted set of its five-word shingles, weight =
 (1 + ln count) x idf.  ICWS draws from it 36 samples that two documents share
-with the probability of their weighted Jaccard similarity; three make a band,
-and documents that share a band are candidates.  Candidates are verified on
-their whole texts, and linked documents form classes.
+with the probability of their weighted Jaccard similarity, and 36 more, with
+weight 1 for each distinct shingle, that they share with the probability of
+their plain one; three of a kind make a band, and documents that share a band
+are candidates.  Candidates are verified on their whole texts by both
+similarities, and linked documents form classes.
 
 No group of copies is expanded into pairs.  Equal texts are one node.  Each
 band bucket links its members to its smallest one; where a bucket then still
@@ -35,13 +37,13 @@ _tables: list[np.ndarray] = []
 
 
 def _sampling_tables() -> list[np.ndarray]:
-    """r and c from Gamma(2, 1) and beta from U(0, 1), by the low bits of a
-    shingle's hash: shingles that share them draw alike, the samples are told
-    apart by the whole hash."""
+    """r and c from Gamma(2, 1) and beta from U(0, 1), and the order of the plain
+    samples from U(0, 1), by the low bits of a shingle's hash: shingles that
+    share them draw alike, the samples are told apart by the whole hash."""
     if not _tables:
         rng, shape = np.random.Generator(np.random.Philox(_SEED)), (1 << _TABLE_BITS, BANDS * ROWS)
         r = rng.gamma(2.0, size=shape).astype(np.float32)
-        _tables.extend([r, np.log(rng.gamma(2.0, size=shape)).astype(np.float32), rng.random(shape, np.float32)])
+        _tables.extend([r, np.log(rng.gamma(2.0, size=shape)).astype(np.float32), rng.random(shape, np.float32), rng.random(shape, np.float32)])
     return _tables
 
 
@@ -91,24 +93,26 @@ def weigh(shingle: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray
 
 
 def signature(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """One hash per band of the samples drawn; empty without shingles."""
+    """One hash per band of the samples drawn, the weighted bands and then the
+    plain ones; empty without shingles."""
     if not len(shingle):
         return np.zeros(0, np.int64)
-    r, log_c, beta = _sampling_tables()
+    r, log_c, beta, plain = _sampling_tables()
     n = BANDS * ROWS
-    best, who, level = np.full(n, np.inf, np.float32), np.zeros(n, np.uint64), np.zeros(n, np.int64)
+    best, who, level = np.full(2 * n, np.inf, np.float32), np.zeros(2 * n, np.uint64), np.zeros(2 * n, np.int64)
     for i in range(0, len(shingle), _BLOCK):
         part = shingle[i : i + _BLOCK]
         row = (part & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
-        ri, bi = r[row], beta[row]
+        ri, bi, order = r[row], beta[row], plain[row]
         t = np.floor(np.log(weight[i : i + _BLOCK]).astype(np.float32)[:, None] / ri + bi)
         log_a = log_c[row] - ri * (t - bi + 1)
-        k = log_a.argmin(axis=0)
-        found = log_a[k, np.arange(n)]
+        k, first, at = log_a.argmin(axis=0), order.argmin(axis=0), np.arange(n)
+        found = np.concatenate([log_a[k, at], order[first, at]])
         better = found < best
-        best[better], who[better], level[better] = found[better], part[k][better], t[k, np.arange(n)][better].astype(np.int64)
-    samples = textnum.mix(who ^ (level.astype(np.uint64) * textnum.BASE)).reshape(BANDS, ROWS)
-    out = np.arange(1, BANDS + 1, dtype=np.uint64)
+        best[better], who[better] = found[better], part[np.concatenate([k, first])][better]
+        level[better] = np.concatenate([t[k, at], np.zeros(n)])[better].astype(np.int64)
+    samples = textnum.mix(who ^ (level.astype(np.uint64) * textnum.BASE)).reshape(2 * BANDS, ROWS)
+    out = np.arange(1, 2 * BANDS + 1, dtype=np.uint64)
     for j in range(ROWS):
         out = textnum.mix(out * textnum.BASE + samples[:, j])
     return out.view(np.int64)

@@ -152,6 +152,14 @@ def test_near_duplicates_against_brute_force(spark):
                 pytest.fail(f"{x} and {y} share nothing")
 
 
+def test_near_duplicates_repeated_passages(spark):
+    texts = {i: " ".join(f"t{i}w{k}" for k in range(120)) for i in range(25)}
+    docs = [(i, t) for i, t in texts.items()] + [(100 + i, " ".join([t] * 10)) for i, t in texts.items()]
+    cls = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(set(cls.values())) == 25
+    assert all(cls[i] == cls[100 + i] == i for i in texts)
+
+
 def test_decontamination_against_brute_force(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     plain = lambda t: " " + " ".join(re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))) + " "
