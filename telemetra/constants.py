@@ -8,6 +8,7 @@ Fixed values: these must stay equal to the behaviour being reproduced
 RECORD_KEY = ("device_id", "timestamp")
 READINGS = ("temperature", "pressure", "humidity")
 ITEM_SCAN_CAP = 10000
+TOPIC = "telemetry_data"
 # sparse-row threshold = number of counted columns // 2
 THRESHOLD_DIVISOR = 2
 # -----------------------------------------------------------------------------

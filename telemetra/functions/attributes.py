@@ -82,12 +82,13 @@ def flatten_attrs(attrs: Column, known: Iterable[str], dtype: str = "double") ->
     """P5: known attributes become top-level typed columns, the rest stays in ``extras``.
 
     Unknown attributes are not turned into new columns (that would change the
-    schema per batch); they are kept as a ``map<string,string>``.
+    schema per batch); they are kept as a ``map<string,string>``, and so is a
+    known attribute whose value does not cast.
     """
     known = list(known)
     cols = [attrs[k].try_cast(dtype).alias(k) for k in known]
     keep = F.array(*[F.lit(k) for k in known])
-    extras = F.map_filter(attrs, lambda k, _v: ~F.array_contains(keep, k))
+    extras = F.map_filter(attrs, lambda k, v: ~F.array_contains(keep, k) | (v.isNotNull() & v.try_cast(dtype).isNull()))
     return cols + [extras.alias("extras")]
 
 
@@ -147,6 +148,16 @@ def stringify_variant(v: Column) -> Column:
     return _text_of_type(v, F.schema_of_variant(v))
 
 
+def typed_variant(v: Column) -> Column:
+    """P6 + P7: a JSON value as a typed attribute struct; JSON null must be gone."""
+    tag, text = tag_of_variant(v), stringify_variant(v)
+    return F.struct(
+        F.when(tag == TAG_STRING, text).alias("S"),
+        F.when(tag == TAG_NUMBER, text).alias("N"),
+        F.when(tag == TAG_BOOL, text.try_cast("boolean")).alias("BOOL"),
+    )
+
+
 def tagged_long_attrs(df: DataFrame, id_cols: Sequence[str], json_object: Column) -> DataFrame:
     """P6 + P7 on a JSON object column: (ids, attribute, tag, value), nulls dropped.
 

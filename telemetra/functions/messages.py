@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import READINGS
-from .attributes import drop_null_attrs
+from .attributes import drop_null_attrs, typed_variant
 from .evaluation import where_once
 
 REASON_MALFORMED = "malformed_json"
@@ -39,6 +39,13 @@ def message_fields(parsed: Column) -> list[Column]:
     ]
 
 
+def message_item(parsed: Column) -> Column:
+    """The ``data`` object as a typed item, ``attribute -> {tag: text}``."""
+    data = F.try_variant_get(parsed, "$.data", "map<string,variant>")
+    present = F.map_filter(data, lambda _k, v: ~F.coalesce(F.is_variant_null(v), F.lit(True)))
+    return F.transform_values(present, lambda _k, v: typed_variant(v))
+
+
 def reject_reason(parsed: Column, device_id: Column, timestamp: Column, data: Column) -> Column:
     """why a message cannot become an item; NULL when it can."""
     return (
@@ -49,8 +56,8 @@ def reject_reason(parsed: Column, device_id: Column, timestamp: Column, data: Co
     )
 
 
-def parse_messages(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Parse bodies into (kept cols, device_id, timestamp, data, reason).
+def parse_messages(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = (), items: bool = False) -> DataFrame:
+    """Parse bodies into (kept cols, device_id, timestamp, data, reason), with ``items`` also the typed item.
 
     One parse per row; ``reason`` is NULL for good records.  Split the result
     with :func:`split_rejects` — both outputs come from this single frame.
@@ -63,6 +70,7 @@ def parse_messages(df: DataFrame, body_col: str = "body", keep: tuple[str, ...]
         "device_id",
         "timestamp",
         "data",
+        *([message_item(F.col("_j")).alias("item")] if items else []),
         reject_reason(F.col("_j"), F.col("device_id"), F.col("timestamp"), F.col("data")).alias("reason"),
     )
 

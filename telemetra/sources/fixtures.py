@@ -42,8 +42,9 @@ def iso_text(ts: Column) -> Column:
 def message_bodies(telemetry: DataFrame, reading_offset: float = 0.0) -> DataFrame:
     """One JSON message per telemetry row: (event_id, body).
 
-    Readings are written with explicit ``null``s (as a device sends them);
-    a NULL key field is written as ``null``.  Every 211th body is cut short
+    Readings are written with explicit ``null``s (as a device sends them),
+    some of the missing ones as a text or a boolean; a NULL key field is
+    written as ``null``.  Every 211th body is cut short
     (malformed JSON) and every 307th carries ``"data": null``.
     """
     eid = F.col("event_id")
@@ -54,6 +55,8 @@ def message_bodies(telemetry: DataFrame, reading_offset: float = 0.0) -> DataFra
         _unless(eid % 307 == 0, data).alias("data"),
     )
     body = F.to_json(msg, {"ignoreNullFields": "false"})
+    body = F.when(eid % 40 == 0, F.replace(body, F.lit('"temperature":null'), F.lit('"temperature":"zz"'))).otherwise(body)
+    body = F.when(eid % 44 == 0, F.replace(body, F.lit('"humidity":null'), F.lit('"humidity":true'))).otherwise(body)
     body = F.when(eid % 211 == 0, F.substring(body, 1, 17)).otherwise(body)
     return telemetry.select(eid, body.alias("body"))
 

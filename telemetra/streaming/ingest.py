@@ -4,7 +4,10 @@
 broker connector can replace the file source without changing the rest) ->
 per micro-batch, ``foreachBatch``:
 
-* parse every body once (P2-P5) and split good rows from rejects (F6);
+* keep the messages on the topic (F4);
+* parse every body once (P2-P5), tag and stringify its attributes (P6, P7) and
+  split good rows from rejects (F6); ``item`` holds every attribute with its
+  tag, ``extras`` the text of those that are no reading or do not cast to one;
 * write the whole batch, good and rejected, to ``<log>/batch_id=<n>`` with
   ``mode("overwrite")`` — a batch replayed after a failure replaces its own
   folder, so the log is exactly-once under the checkpoint;
@@ -25,9 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import READINGS, RECORD_KEY
-from ..functions.attributes import flatten_attrs
+from ..constants import READINGS, RECORD_KEY, TOPIC
+from ..functions.attributes import ITEM_TYPE, flatten_attrs, unwrap_item
 from ..functions.messages import parse_messages
+from ..functions.predicates import topic_is
 from ..operators.keyed import latest_per_key
 
 ARRIVAL = ("_arrival_time", "_arrival_file", "_arrival_block", "_arrival_pos")
@@ -38,7 +42,7 @@ def log_schema(readings: Sequence[str] = READINGS) -> str:
     cols = ", ".join(f"{r} double" for r in readings)
     return (
         "device_id string, timestamp string, "
-        f"{cols}, extras map<string,string>, body string, reason string, "
+        f"{cols}, extras map<string,string>, item {ITEM_TYPE}, body string, reason string, "
         "_arrival_time timestamp, _arrival_file string, _arrival_block bigint, _arrival_pos bigint, "
         "batch_id bigint"
     )
@@ -55,7 +59,9 @@ def message_stream(
 
     ``source_format="text"``: ``source`` is a folder (or glob) of JSON-lines
     files; arrival = (file time, file name, block start) and the line
-    position is added per micro-batch.  ``source_format="kafka"``: ``source``
+    position is added per micro-batch; the topic of a file below a folder
+    ``topic=<name>`` is that name, of any other file the default one.
+    ``source_format="kafka"``: ``source``
     is the topic (the connector package must be on the classpath; it is not
     in this image); arrival = (broker timestamp, topic-partition, partition,
     offset), so per-partition order is the broker's.
@@ -73,6 +79,7 @@ def message_stream(
             F.concat_ws("-", F.col("topic"), F.col("partition").cast("string")).alias("_arrival_file"),
             F.col("partition").cast("bigint").alias("_arrival_block"),
             F.col("offset").alias("_arrival_pos"),
+            F.col("topic").alias("_topic"),
         )
     reader = spark.readStream.format(source_format)
     for k, v in (options or {}).items():
@@ -85,11 +92,12 @@ def message_stream(
         F.col("_metadata.file_modification_time").alias("_arrival_time"),
         F.col("_metadata.file_name").alias("_arrival_file"),
         F.col("_metadata.file_block_start").alias("_arrival_block"),
+        F.coalesce(F.nullif(F.regexp_extract(F.col("_metadata.file_path"), "/topic=([^/]+)/", 1), F.lit("")), F.lit(TOPIC)).alias("_topic"),
     )
 
 
-def batch_rows(batch: DataFrame, batch_id: int, readings: Sequence[str] = READINGS) -> DataFrame:
-    """One micro-batch -> log rows (good rows typed, rejects with body and reason).
+def batch_rows(batch: DataFrame, batch_id: int, readings: Sequence[str] = READINGS, topic: str = TOPIC) -> DataFrame:
+    """One micro-batch -> log rows of the topic (good rows typed, rejects with body and reason).
 
     The line position is taken right above the file scan (no shuffle in
     between), so it increases with the line order inside each file block; it
@@ -98,12 +106,13 @@ def batch_rows(batch: DataFrame, batch_id: int, readings: Sequence[str] = READIN
     with_pos = batch
     if "_arrival_pos" not in batch.columns:
         with_pos = batch.withColumn("_arrival_pos", F.monotonically_increasing_id())
-    parsed = parse_messages(with_pos, keep=ARRIVAL)
+    parsed = parse_messages(with_pos.where(topic_is(F.col("_topic"), topic)), keep=ARRIVAL, items=True)
     good = F.col("reason").isNull()
     return parsed.select(
         "device_id",
         "timestamp",
-        *flatten_attrs(F.col("data"), readings),
+        *flatten_attrs(unwrap_item(F.col("item")), readings),
+        "item",
         F.when(~good, F.col("body")).alias("body"),
         "reason",
         *ARRIVAL,
@@ -111,8 +120,8 @@ def batch_rows(batch: DataFrame, batch_id: int, readings: Sequence[str] = READIN
     )
 
 
-def write_batch(batch: DataFrame, batch_id: int, log_dir: str, readings: Sequence[str] = READINGS) -> None:
-    rows = batch_rows(batch, batch_id, readings).drop("batch_id")
+def write_batch(batch: DataFrame, batch_id: int, log_dir: str, readings: Sequence[str] = READINGS, topic: str = TOPIC) -> None:
+    rows = batch_rows(batch, batch_id, readings, topic).drop("batch_id")
     rows.write.mode("overwrite").parquet(f"{log_dir}/batch_id={batch_id}")
 
 
@@ -128,9 +137,10 @@ def start_ingest(
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the ingest; ``available_now`` drains what is there and stops."""
+    topic = source if source_format == "kafka" else TOPIC
     stream = message_stream(spark, source, max_files_per_trigger, source_format, options)
     writer = (
-        stream.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, log_dir))
+        stream.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, log_dir, topic=topic))
         .option("checkpointLocation", checkpoint_dir)
     )
     if available_now:
@@ -158,7 +168,7 @@ def latest_items(
     """K6: the keyed item table — one row per key, the last arrival's whole row."""
     good = read_log(spark, log_dir, readings).where(F.col("reason").isNull())
     latest = latest_per_key(good, keys, list(ARRIVAL_ORDER), null_safe=False)  # good rows have both keys
-    return latest.select(*keys, *[r for r in readings if r not in keys], "extras")
+    return latest.select(*keys, *[r for r in readings if r not in keys], "extras", "item")
 
 
 def fold_log(table, spark: SparkSession, log_dir: str, after_batch: int = -1) -> int:

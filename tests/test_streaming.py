@@ -63,3 +63,20 @@ def test_fold_into_lake_equals_the_key_view(spark, workdir):
     assert fold_log(table, spark, log, after_batch=0) == fold_log(table, spark, log, after_batch=1) == 1
     lake = sorted(tuple(r) for r in table.read().select("device_id", "timestamp", "temperature", "humidity").collect())
     assert lake == _state(spark, log) == [("d1", "t1", 9.0, 1.5), ("d2", "t1", 2.0, 1.5), ("d3", "t2", 3.0, 1.5)]
+
+
+def test_mixed_types_are_kept_with_their_tag_and_other_topics_left_out(spark, workdir):
+    src, log, ck = f"{workdir}/src", f"{workdir}/log", f"{workdir}/ck"
+    mixed = '{"device":"d1","timestamp":"t1","data":{"temperature":"zz","humidity":true,"pressure":28.0,"n":7,"o":{"g":1},"x":null}}'
+    _write(spark, f"{src}/a1", [mixed, '{"device":"d2","timestamp":"t1","data":{"temperature":"21.5"}}'])
+    _write(spark, f"{src}/topic=other", [_msg("d9", "t1", 1.0)])
+    _write(spark, f"{src}/topic=telemetry_data", [_msg("d3", "t1", 1.0)])
+    start_ingest(spark, f"{src}/*", log, ck).awaitTermination()
+    rows = {r.device_id: r for r in latest_items(spark, log).collect()}
+    assert sorted(rows) == ["d1", "d2", "d3"]
+    r = rows["d1"]
+    assert (r.temperature, r.humidity, r.pressure) == (None, None, 28.0)
+    assert r.extras == {"temperature": "zz", "humidity": "true", "n": "7", "o": '{"g":1}'}
+    tagged = {k: {t: x for t, x in v.asDict().items() if x is not None} for k, v in r.item.items()}
+    assert tagged == {"temperature": {"S": "zz"}, "humidity": {"BOOL": True}, "pressure": {"N": "28.0"}, "n": {"N": "7"}, "o": {"S": '{"g":1}'}}
+    assert rows["d2"].temperature == 21.5 and rows["d2"].extras == {}
