@@ -17,14 +17,13 @@ again, where whole rows are scored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum
+from .chunked import FIELDS, checksum, expand, gathered, pack, parts_of, schema, squeeze, unpack
 
 BACKOFF = 0.4
 #: Entries (n-grams of a chunk) per partition of the count tables, about.
@@ -34,7 +33,6 @@ CHUNK_BYTES = 4 << 20
 _SENT = (np.uint64, np.uint32, np.uint32)
 _TOTAL = (np.uint64, np.uint64)
 _WORD = np.uint64(0xD6E8FEB86659FD93)
-_FIELDS = "chunk long, part int, n int, check long, packed binary"
 
 
 def _pairs(w: textnum.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,60 +42,6 @@ def _pairs(w: textnum.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[same], same, same + 1
 
 
-def _squeeze(raw: bytes) -> bytes:
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def _expand(packed: pa.Scalar) -> bytes:
-    raw = packed.as_buffer()
-    return pa.decompress(raw.slice(8), int.from_bytes(raw.slice(0, 8), "little"), codec="zstd", asbytes=True)
-
-
-def _pack(columns: list[np.ndarray], kinds: tuple) -> bytes:
-    """Columns of whole numbers, bytes of equal weight together: sorted and
-    small numbers then compress well."""
-    return _squeeze(b"".join(np.ascontiguousarray(x, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes() for x, kind in zip(columns, kinds)))
-
-
-def _unpack(packed: pa.Scalar, n: int, kinds: tuple) -> list[np.ndarray]:
-    widths = [np.dtype(kind).itemsize for kind in kinds]
-    planes = np.frombuffer(_expand(packed), np.uint8)
-    cuts = n * np.cumsum([0, *widths])
-    return [np.ascontiguousarray(planes[i:j].reshape(w, n).T).view(kind)[:, 0] for i, j, w, kind in zip(cuts, cuts[1:], widths, kinds)]
-
-
-def _check(keys: np.ndarray) -> int:
-    return int(np.bitwise_xor.reduce(keys, initial=np.uint64(0)).view(np.int64))
-
-
-def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, textnum.Chunk]]:
-    """(first row, its texts) of each chunk of a partition's (row, text): cut
-    by the rows' lengths alone, whatever the batches."""
-    data, lengths, size, first = [], [], 0, 0
-
-    def whole() -> textnum.Chunk:
-        return textnum.Chunk(0, np.concatenate(data), np.concatenate([[0], np.cumsum(np.concatenate(lengths))]))
-
-    for b in batches:
-        for c in textnum.chunks(b.column(1), limit):
-            at = 0
-            while at < c.n:
-                end = int(np.searchsorted(c.offsets, c.offsets[at] + limit - size, side="right")) - 1
-                end = max(end, at + (not data))
-                if end > at:
-                    if not data:
-                        first = b.column(0)[c.first + at].as_py()
-                    data.append(c.data[c.offsets[at] : c.offsets[end]])
-                    lengths.append(np.diff(c.offsets[at : end + 1]))
-                    size += len(data[-1])
-                if end < c.n:
-                    yield first, whole()
-                    data, lengths, size = [], [], 0
-                at = end
-    if data:
-        yield first, whole()
-
-
 def _ngrams(chunk: textnum.Chunk) -> tuple[textnum.Words, tuple, np.ndarray, np.ndarray]:
     """Words, pairs, and the keys of all words, then of all pairs, of a chunk:
     the distinct ones, sorted, and the place of each among them."""
@@ -107,11 +51,6 @@ def _ngrams(chunk: textnum.Chunk) -> tuple[textnum.Words, tuple, np.ndarray, np.
     return w, (doc, a, b), *np.unique(keys, return_inverse=True)
 
 
-def _parts(keys: np.ndarray, n_parts: int) -> np.ndarray:
-    """Sorted keys fall into partitions one after the other: the cuts."""
-    return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32), np.arange(n_parts + 1))
-
-
 def count_words(docs: DataFrame) -> int:
     """The number of words of all rows."""
 
@@ -137,45 +76,45 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION, chunk
     n_parts = max(1, -(-2 * total // pairs_per_partition))
 
     def sent(batches):
-        for first, chunk in _gathered(batches, chunk_bytes):
+        for first, chunk, _ in gathered(batches, chunk_bytes):
             w, _, keys, place = _ngrams(chunk)
             n = np.bincount(place, minlength=len(keys))
             last = np.bincount(place[w.offsets[1:][np.diff(w.offsets) > 0] - 1], minlength=len(keys))
-            cuts = _parts(keys, n_parts)
+            cuts = parts_of(keys, n_parts)
             for p in np.flatnonzero(np.diff(cuts)):
                 own = slice(cuts[p], cuts[p + 1])
-                packed = _pack([keys[own], n[own], last[own]], _SENT)
-                yield pa.RecordBatch.from_pylist([{"chunk": first, "part": p, "n": len(keys[own]), "check": _check(keys[own]), "packed": packed}], schema)
+                packed = pack([keys[own], n[own], last[own]], _SENT)
+                yield pa.RecordBatch.from_pylist([{"chunk": first, "part": p, "n": len(keys[own]), "check": checksum(keys[own]), "packed": packed}], schema)
 
     def texts(batches):
-        for first, chunk in _gathered(batches, chunk_bytes):
-            packed = _squeeze(chunk.offsets.astype(np.int64).tobytes() + chunk.data.tobytes())
+        for first, chunk, _ in gathered(batches, chunk_bytes):
+            packed = squeeze(chunk.offsets.astype(np.int64).tobytes() + chunk.data.tobytes())
             yield pa.RecordBatch.from_pylist([{"chunk": first, "part": -1, "n": chunk.n, "check": 0, "packed": packed}], schema)
 
     def added(group: pa.Table) -> pa.Table:
         sizes = group["n"].to_pylist()
-        keys, n, last = (np.concatenate(x) for x in zip(*(_unpack(raw, k, _SENT) for k, raw in zip(sizes, group["packed"]))))
+        keys, n, last = (np.concatenate(x) for x in zip(*(unpack(raw, k, _SENT) for k, raw in zip(sizes, group["packed"]))))
         _, place = np.unique(keys, return_inverse=True)
         del keys
         n, last = (np.bincount(place, weights=x)[place] for x in (n, last))
         cuts = np.cumsum([0, *sizes])
-        packed = [_pack([n[i:j], last[i:j]], _TOTAL) for i, j in zip(cuts, cuts[1:])]
+        packed = [pack([n[i:j], last[i:j]], _TOTAL) for i, j in zip(cuts, cuts[1:])]
         return pa.table([group["chunk"], group["part"], group["n"], group["check"], pa.array(packed, pa.binary())], schema=schema)
 
     def scored(group: pa.Table) -> pa.Table:
         part = group["part"].to_numpy()
         text = int(np.flatnonzero(part < 0)[0])
-        raw, n_docs = _expand(group["packed"][text]), group["n"][text].as_py()
+        raw, n_docs = expand(group["packed"][text]), group["n"][text].as_py()
         chunk = textnum.Chunk(0, np.frombuffer(raw, np.uint8, offset=8 * (n_docs + 1)), np.frombuffer(raw, np.int64, n_docs + 1))
         w, (doc, a, b), keys, place = _ngrams(chunk)
         count, last = np.zeros(len(keys)), np.zeros(len(keys))
-        cuts, answered = _parts(keys, n_parts), 0
+        cuts, answered = parts_of(keys, n_parts), 0
         for i in np.flatnonzero(part >= 0):
             own = slice(cuts[part[i]], cuts[part[i] + 1])
             n = group["n"][i].as_py()
-            if n != len(keys[own]) or group["check"][i].as_py() != _check(keys[own]):
+            if n != len(keys[own]) or group["check"][i].as_py() != checksum(keys[own]):
                 raise RuntimeError("the input gave other rows when it was read again")
-            count[own], last[own] = _unpack(group["packed"][i], n, _TOTAL)
+            count[own], last[own] = unpack(group["packed"][i], n, _TOTAL)
             answered += n
         if answered != len(keys):
             raise RuntimeError("the input gave other rows when it was read again")
@@ -195,10 +134,9 @@ def score(docs: DataFrame, pairs_per_partition: int = PAIRS_PER_PARTITION, chunk
         rows = group["chunk"][0].as_py() + np.arange(n_docs)  # rows of a chunk are numbered one after the other
         return pa.table({"row": rows, "n": n.astype(np.int64), "seen": n_seen.astype(np.int64), "log": sums})
 
-    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("check", pa.int64()), ("packed", pa.binary())])
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     rows = numbered.select("row", "text")
-    answers = rows.mapInArrow(sent, _FIELDS).groupBy("part").applyInArrow(added, _FIELDS)
-    sums = answers.union(rows.mapInArrow(texts, _FIELDS)).groupBy("chunk").applyInArrow(scored, "row long, n long, seen long, log double")
+    answers = rows.mapInArrow(sent, FIELDS).groupBy("part").applyInArrow(added, FIELDS)
+    sums = answers.union(rows.mapInArrow(texts, FIELDS)).groupBy("chunk").applyInArrow(scored, "row long, n long, seen long, log double")
     out = numbered.select("doc_id", "row").join(sums, "row", "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_pairs"), F.coalesce("seen", F.lit(0)).alias("n_seen"), F.when(F.col("n") > 0, F.round(F.col("log") / F.col("n"), 6)).alias("log_score"))

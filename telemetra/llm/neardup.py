@@ -17,6 +17,8 @@ only what the leader has (see ``across``).
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,12 +26,16 @@ from pyspark.sql import functions as F
 
 from ..operators.staging import stage
 from . import textnum
+from .chunked import FIELDS, checksum, expand, gathered, pack, parts_of, schema, squeeze, unpack
 from .components import components
 
 K = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
-SKETCH_BITS = 18
+#: Entries (shingles of a chunk) per partition of the document frequencies, about.
+SHINGLES_PER_PARTITION = 1_500_000
+#: Bytes of text in a chunk, or a single longer row.
+CHUNK_BYTES = 4 << 20
 _TABLE_BITS = 16
 _BLOCK = 1 << 14
 _SEED = 20240607
@@ -54,29 +60,19 @@ def document_shingles(chunk: textnum.Chunk) -> tuple[list[tuple[np.ndarray, np.n
     return [np.unique(sh[at[d] : at[d + 1]], return_counts=True) for d in range(chunk.n)], w
 
 
-def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
-    """Rows with a shingle, and in how many of them each bucket of shingle
-    hashes occurs: a sketch of 2^18 counters over all rows, whose size does
-    not depend on the corpus."""
+def corpus_size(docs: DataFrame) -> tuple[int, int]:
+    """(rows with a shingle, words of all rows)."""
 
-    def partial(batches):
-        counts, n = np.zeros(1 << SKETCH_BITS, np.int64), 0
+    def counted(batches):
         for b in batches:
+            n, total = 0, 0
             for c in textnum.chunks(b.column(0)):
-                for sh, _ in document_shingles(c)[0]:
-                    n += len(sh) > 0
-                    np.add.at(counts, np.unique(sh & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), 1)
-        used = np.flatnonzero(counts)
-        for i in range(0, len(used), 1 << 16):
-            part = used[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(counts[part])], names=["bucket", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([n], pa.int64())], names=["bucket", "n"])
-
-    total = docs.select("text").mapInArrow(partial, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    bucket, n = total["bucket"].to_numpy(), total["n"].to_numpy()
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    out[bucket[bucket >= 0]] = n[bucket >= 0]
-    return int(n[bucket < 0].sum()), out
+                words = np.diff(np.searchsorted(textnum.pieces(c, textnum.ALNUM[c.data])[0], c.offsets))
+                n, total = n + int((words > 0).sum()), total + int(words.sum())
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total], pa.int64())], names=["n", "words"])
+
+    sums = docs.select("text").mapInArrow(counted, "n long, words long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    return sums[0], sums[1]
 
 
 def idf_weights(n: int, frequency: np.ndarray) -> np.ndarray:
@@ -88,8 +84,14 @@ def idf_weights(n: int, frequency: np.ndarray) -> np.ndarray:
     return (1 + np.log(max(n, 1) / np.clip(frequency, 1, max(n, 1))) / np.log(max(n, 2))).astype(np.float32)
 
 
-def weigh(shingle: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return (1 + np.log(count)) * idf[(shingle & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+def weigh(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    return (1 + np.log(count)) * idf
+
+
+def weighted_sets(texts: pa.Array, frequencies: pa.Array, n: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each text its shingles, their counts and their idf of ``n`` documents."""
+    sets = [x for c in textnum.chunks(texts) for x in document_shingles(c)[0]]
+    return [(*x, idf_weights(n, unpack(df, len(x[0]), (np.uint64,))[0])) for x, df in zip(sets, frequencies)]
 
 
 def signature(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -129,12 +131,12 @@ def prefix_length(weight: np.ndarray) -> int:
     return min(n, max(plain, weighted))
 
 
-def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> float:
+def similar(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray]) -> float:
     """The larger of weighted and plain Jaccard similarity of two shingle sets."""
     shared, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(shared):
         return 0.0
-    wa, wb = weigh(*a, idf), weigh(*b, idf)
+    wa, wb = weigh(*a[1:]), weigh(*b[1:])
     low = float(np.minimum(wa[ia], wb[ib]).sum())
     weighted = low / (float(wa.sum()) + float(wb.sum()) - low)
     return max(weighted, len(shared) / (len(a[0]) + len(b[0]) - len(shared)))
@@ -144,48 +146,104 @@ def _key() -> F.Column:
     return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
 
 
-def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Staged: (doc_id, row, key, bands, n, weight) for every row of ``docs``."""
-    fields = "doc_id long, row long, key binary, bands array<long>, n long, weight double"
-
-    def signed(batches):
-        for b in batches:
-            for c in textnum.chunks(b.column(3)):
-                bands, n, total = [], [], []
-                for shingle, count in document_shingles(c)[0]:
-                    weight = weigh(shingle, count, idf)
-                    bands.append(signature(shingle, weight))
-                    n.append(len(shingle))
-                    total.append(float(weight.sum()))
-                part = [b.column(k).slice(c.first, c.n) for k in range(3)]
-                yield pa.RecordBatch.from_arrays([*part, pa.array(bands, pa.list_(pa.int64())), pa.array(n, pa.int64()), pa.array(total, pa.float64())], names=[f.split()[0] for f in fields.split(", ")])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), _key().alias("key"), "text")
-    return stage(rows.mapInArrow(signed, fields), "signatures")
-
-
-def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Staged: (key, text) of the texts with these keys, each once."""
-    texts = docs.select(_key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    return stage(texts.join(keys.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "texts")
+def signatures(docs: DataFrame, n: int, words: int, shingles_per_partition: int = SHINGLES_PER_PARTITION, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Staged: (doc_id, row, key, bands, n, weight, df) for every row of ``docs``.
 
-
-def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    ``df`` packs the exact number of rows that hold each shingle of the row.
+    A chunk of rows sends its distinct shingles once to the partition of their
+    hash, which adds up all chunks and answers each, so that a shingle of all
+    rows has no more than one entry per chunk; the answers meet the chunk's
+    texts again.
+    """
+    fields = "doc_id long, row long, key binary, bands array<long>, n long, weight double, df binary"
+    n_parts = max(1, -(-words // shingles_per_partition))
+
+    def sent(batches):
+        for first, chunk, _ in gathered(batches, chunk_bytes):
+            keys, held = np.unique(np.concatenate([x for x, _ in document_shingles(chunk)[0]]), return_counts=True)
+            cuts = parts_of(keys, n_parts)
+            for p in np.flatnonzero(np.diff(cuts)):
+                own = slice(cuts[p], cuts[p + 1])
+                packed = pack([keys[own], held[own]], (np.uint64, np.uint32))
+                yield pa.RecordBatch.from_pylist([{"chunk": first, "part": p, "n": len(keys[own]), "check": checksum(keys[own]), "packed": packed}], schema)
+
+    def added(group: pa.Table) -> pa.Table:
+        sizes = group["n"].to_pylist()
+        keys, held = (np.concatenate(x) for x in zip(*(unpack(raw, k, (np.uint64, np.uint32)) for k, raw in zip(sizes, group["packed"]))))
+        _, place = np.unique(keys, return_inverse=True)
+        total = np.bincount(place, weights=held)[place]
+        cuts = np.cumsum([0, *sizes])
+        packed = [pack([total[i:j]], (np.uint64,)) for i, j in zip(cuts, cuts[1:])]
+        return pa.table([group["chunk"], group["part"], group["n"], group["check"], pa.array(packed, pa.binary())], schema=schema)
+
+    def texts(batches):
+        for first, chunk, doc_id in gathered(batches, chunk_bytes):
+            head = [chunk.offsets, doc_id.fill_null(0).to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False)]
+            packed = squeeze(b"".join(x.astype(np.int64).tobytes() for x in head) + chunk.data.tobytes())
+            yield pa.RecordBatch.from_pylist([{"chunk": first, "part": -1, "n": chunk.n, "check": 0, "packed": packed}], schema)
+
+    def signed(group: pa.Table) -> pa.Table:
+        part = group["part"].to_numpy()
+        text = int(np.flatnonzero(part < 0)[0])
+        raw, m = expand(group["packed"][text]), group["n"][text].as_py()
+        head = np.frombuffer(raw, np.int64, 3 * m + 1)
+        at, doc_id, missing = head[: m + 1], head[m + 1 : 2 * m + 1], head[2 * m + 1 :] > 0
+        chunk = textnum.Chunk(0, np.frombuffer(raw, np.uint8, offset=8 * (3 * m + 1)), at)
+        sets, _ = document_shingles(chunk)
+        keys = np.unique(np.concatenate([x for x, _ in sets]))
+        held, cuts, answered = np.zeros(len(keys), np.uint64), parts_of(keys, n_parts), 0
+        for i in np.flatnonzero(part >= 0):
+            own = slice(cuts[part[i]], cuts[part[i] + 1])
+            k = group["n"][i].as_py()
+            if k != len(keys[own]) or group["check"][i].as_py() != checksum(keys[own]):
+                raise RuntimeError("the input gave other rows when it was read again")
+            held[own] = unpack(group["packed"][i], k, (np.uint64,))[0]
+            answered += k
+        if answered != len(keys):
+            raise RuntimeError("the input gave other rows when it was read again")
+        bands, total, df = [], [], []
+        for shingle, count in sets:
+            own = held[np.searchsorted(keys, shingle)]
+            weight = weigh(count, idf_weights(n, own))
+            bands.append(signature(shingle, weight))
+            total.append(float(weight.sum()))
+            df.append(pack([own], (np.uint64,)))
+        digest = [hashlib.md5(chunk.data[i:j].tobytes()).digest() for i, j in zip(at, at[1:])]
+        row = group["chunk"][0].as_py() + np.arange(m)  # rows of a chunk are numbered one after the other
+        columns = [pa.array(doc_id, pa.int64(), mask=missing), pa.array(row, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+        columns += [pa.array([len(x) for x, _ in sets], pa.int64()), pa.array(total, pa.float64()), pa.array(df, pa.binary())]
+        return pa.table(columns, names=[f.split()[0] for f in fields.split(", ")])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "text", F.col("doc_id").cast("long").alias("doc_id"))
+    answers = rows.mapInArrow(sent, FIELDS).groupBy("part").applyInArrow(added, FIELDS)
+    return stage(answers.union(rows.mapInArrow(texts, FIELDS)).groupBy("chunk").applyInArrow(signed, fields), "signatures")
+
+
+def texts_of(docs: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Staged: (key, text, df) of the texts with these keys, each once."""
+    keys = keys.select("key").distinct()
+    texts = docs.select(_key().alias("key"), F.coalesce("text", F.lit("")).alias("text")).join(keys, "key", "left_semi").dropDuplicates(["key"])
+    frequencies = rows.select("key", "df").join(keys, "key", "left_semi").dropDuplicates(["key"])
+    return stage(texts.join(frequencies, "key"), "texts")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """Staged: the (a, b) of ``pairs`` (keys of texts) whose whole texts are similar."""
 
     def similar_pairs(batches):
         for b in batches:
-            left, right = b.column(2), b.column(3)
             for i in range(0, b.num_rows, 256):
-                sides = [[s for c in textnum.chunks(x.slice(i, 256)) for s in document_shingles(c)[0]] for x in (left, right)]
-                keep = pa.array([similar(p, q, idf) >= SIMILARITY for p, q in zip(*sides)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 256).filter(keep), b.column(1).slice(i, 256).filter(keep)], names=["a", "b"])
+                part = b.slice(i, 256)
+                sides = [weighted_sets(part.column(k), part.column(k + 1), n) for k in (2, 4)]
+                keep = pa.array([similar(p, q) >= SIMILARITY for p, q in zip(*sides)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["a", "b"])
 
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(similar_pairs, "a binary, b binary"), "links")
+    side = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"text_{x}"), F.col("df").alias(f"df_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return stage(both.select("a", "b", "text_a", "df_a", "text_b", "df_b").mapInArrow(similar_pairs, "a binary, b binary"), "links")
 
 
-def against_leader(unsettled: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+def against_leader(unsettled: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """Staged, for each member of an unsettled bucket: is it ``linked`` to the
     leader, the number and weight of all its shingles (n, weight) and of those
     the leader has too (s, sw), and ``tokens``: those of its prefix that the
@@ -197,21 +255,21 @@ def against_leader(unsettled: DataFrame, texts: DataFrame, idf: np.ndarray) -> D
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                leader, member = [[x for c in textnum.chunks(part.column(k)) for x in document_shingles(c)[0]] for k in (3, 4)]
+                leader, member = [weighted_sets(part.column(k), part.column(k + 1), n) for k in (3, 5)]
                 out = []
                 for l, m in zip(leader, member):
-                    weight = weigh(*m, idf)
+                    weight = weigh(*m[1:])
                     common = np.isin(m[0], l[0], assume_unique=True)
-                    rank = np.lexsort((m[0], -idf[(m[0] & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], common))
+                    rank = np.lexsort((m[0], -m[2], common))
                     prefix = rank[: prefix_length(weight[rank])]
                     tokens = m[0][prefix[~common[prefix]]].view(np.int64)
-                    out.append((similar(l, m, idf) >= SIMILARITY, len(common), float(weight.sum()), int(common.sum()), float(weight[common].sum()), tokens))
+                    out.append((similar(l, m) >= SIMILARITY, len(common), float(weight.sum()), int(common.sum()), float(weight[common].sum()), tokens))
                 kinds = (pa.bool_(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
                 columns = [pa.array([row[j] for row in out], kind) for j, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=[f.split()[0] for f in fields.split(", ")])
 
-    both = unsettled.join(texts.withColumnsRenamed({"key": "first", "text": "text_l"}), "first").join(texts.withColumnRenamed("text", "text_m"), "key")
-    return stage(both.select("bucket", "key", "root", "text_l", "text_m").mapInArrow(compared, fields), "against-leader")
+    both = unsettled.join(texts.withColumnsRenamed({"key": "first", "text": "text_l", "df": "df_l"}), "first").join(texts.withColumnsRenamed({"text": "text_m", "df": "df_m"}), "key")
+    return stage(both.select("bucket", "key", "root", "text_l", "df_l", "text_m", "df_m").mapInArrow(compared, fields), "against-leader")
 
 
 def across(members: DataFrame) -> DataFrame:
@@ -243,22 +301,22 @@ def across(members: DataFrame) -> DataFrame:
     return by_token.union(by_size).distinct()
 
 
-def links(docs: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     """(a, b): verified links that connect all similar texts found."""
     entries = rows.select("key", (F.col("weight") / F.col("n")).alias("rarity"), F.explode("bands").alias("bucket")).distinct()
     buckets = entries.groupBy("bucket").agg(F.min(F.struct("rarity", "key")).alias("leader"), F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1").select("bucket", F.col("leader.key").alias("first"))
     members = stage(entries.join(buckets, "bucket").select("bucket", "first", "key"), "members")
-    texts = texts_of(docs, members)
+    texts = texts_of(docs, rows, members)
     star = stage(members.filter("first <> key").select(F.least("first", "key").alias("a"), F.greatest("first", "key").alias("b")).distinct(), "candidates")
-    linked = verify(star, texts, idf)
+    linked = verify(star, texts, n)
 
     roots = components(linked)
     labelled = members.filter("first <> key")  # the leader has met every member
     labelled = labelled.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
     unsettled = labelled.select("bucket", "first", "key", "root").join(mixed, "bucket", "left_semi")
-    cross = across(against_leader(unsettled, texts, idf)).join(star, ["a", "b"], "left_anti")
-    return linked.union(verify(stage(cross, "candidates"), texts, idf))
+    cross = across(against_leader(unsettled, texts, n)).join(star, ["a", "b"], "left_anti")
+    return linked.union(verify(stage(cross, "candidates"), texts, n))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -271,10 +329,9 @@ def classes(docs: DataFrame) -> DataFrame:
     last; ``kept`` marks exactly one row of each class, one with that doc_id.
     ``key`` is the digest of the text.  An empty table gives no rows.
     """
-    n, frequency = document_frequencies(docs)
-    idf = idf_weights(n, frequency)
-    rows = signatures(docs, idf)
-    roots = components(links(docs, rows, idf))
+    n, words = corpus_size(docs)
+    rows = signatures(docs, n, words)
+    roots = components(links(docs, rows, n))
     rows = rows.select("doc_id", "row", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("class_size"))
     out = rows.join(best, "root")

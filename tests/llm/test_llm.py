@@ -3,10 +3,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 from telemetra.llm import decontam, licenses, lm_score, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
+from telemetra.llm.chunked import unpack
 from telemetra.session import work_dir
 from tests.test_entry import SF, _rows, con  # noqa: F401
 
@@ -152,6 +155,22 @@ def test_near_duplicates_against_brute_force(spark):
                 pytest.fail(f"{x} and {y} share nothing")
 
 
+def test_document_frequencies_are_exact(spark):
+    texts = [f"a b c d e f g h{i % 3} " + " ".join(f"w{i // 2}x{k}" for k in range(6)) for i in range(40)] + [None, "", "a b", "a b c d e f g"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = [(t or "").split() for t in texts]
+    sets = [{tuple(w)} if 0 < len(w) < 5 else set(zip(w, w[1:], w[2:], w[3:], w[4:])) for w in words]
+    held = Counter(x for s in sets for x in s)
+    n, total = neardup.corpus_size(frame)
+    assert (n, total) == (42, sum(map(len, words)))
+    for bounds in ({"shingles_per_partition": 20, "chunk_bytes": 100}, {}):
+        rows = neardup.signatures(frame, n, total, **bounds).collect()
+        assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+        for r in rows:
+            df = unpack(pa.scalar(r.df, pa.binary()), r.n, (np.uint64,))[0].tolist()
+            assert sorted(df) == sorted(held[x] for x in sets[r.doc_id])
+
+
 def test_near_duplicates_repeated_passages(spark):
     texts = {i: " ".join(f"t{i}w{k}" for k in range(120)) for i in range(25)}
     docs = [(i, t) for i, t in texts.items()] + [(100 + i, " ".join([t] * 10)) for i, t in texts.items()]
