@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, lm_score, mixing, neardup, pu_quality, quality_rules, sharding, url_filter, warc
+from . import centroids, decontam, licenses, lm_score, mixing, neardup, pu_quality, quality_rules, resample, sharding, token_counts, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,5 +98,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, labels).drop("text")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, table(spark, sf_dir, "benchmark")).drop("row")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes())
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def builders() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_decontamination, op3_licenses, op4_quality, op5_lm_score, op6_sharding, op7_near_duplicates, op8_warc, op9_url_filters, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_mixing, op2_decontamination, op3_licenses, op4_quality, op5_lm_score, op6_sharding, op7_near_duplicates, op8_warc, op9_url_filters, op10_quality_rules, op11_resampling, op12_token_counts, op13_centroids)}

@@ -103,5 +103,54 @@ FROM d LEFT JOIN g USING (rid)
 """
 
 
+#: As OP6, the CRC-32 goes over the hex of the UTF-8 bytes, here of each distinct feature.
+OP11 = """
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+         lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+f AS (SELECT rid, unnest(list_concat(ws, list_transform(range(1, greatest(1, len(ws))), lambda i: ws[i] || ' ' || ws[i + 1]))) AS g FROM d),
+e AS (SELECT unnest(list_concat(ws, list_transform(range(1, greatest(1, len(ws))), lambda i: ws[i] || ' ' || ws[i + 1]))) AS g FROM b),
+v0 AS (SELECT g, hex(g) AS h FROM (SELECT g FROM f UNION SELECT g FROM e)),
+v AS (SELECT g, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(CAST(len(h) // 2 AS BIGINT)), lambda j: CAST('0x' || substr(h, CAST(2 * j + 1 AS BIGINT), 2) AS BIGINT))),
+    lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) % 10000 AS bucket FROM v0, tab),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN v USING (g) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM e JOIN v USING (g) GROUP BY bucket),
+gain AS (SELECT r.bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM f) + 10000 AS DOUBLE)
+    / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM e) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM (SELECT unnest(range(10000)) AS bucket) r LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+w AS (SELECT rid, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS total FROM f JOIN v USING (g) JOIN gain USING (bucket) GROUP BY rid),
+x AS (SELECT rid, doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+    CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN w USING (rid)),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM x),
+z AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM y WHERE n_words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, score, CASE WHEN rank <= 25 * (SELECT count(*) FROM z) // 100 THEN rank END AS rank
+FROM y LEFT JOIN z USING (rid)
+"""
+
+
+def _op13(k: int = 8, rounds: int = 10) -> str:
+    nearest = """a{r} AS MATERIALIZED (SELECT rid, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+  SELECT p.rid, c.cluster, sum((p.x - c.x) * (p.x - c.x)) AS d FROM p JOIN c{r} c USING (i) GROUP BY p.rid, c.cluster) GROUP BY rid)"""
+    moved = """c{n} AS MATERIALIZED (SELECT c.cluster, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+  SELECT cluster, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x FROM p JOIN a{r} USING (rid) GROUP BY cluster, i) m USING (cluster, i))"""
+    steps = [text for r in range(rounds) for text in (nearest.format(r=r), moved.format(r=r, n=r + 1))] + [nearest.format(r=rounds)]
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+p AS MATERIALIZED (SELECT rid, unnest(range(1, 65)) AS i, unnest(e) AS x FROM v),
+f AS (SELECT e, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS cluster FROM v),
+c0 AS MATERIALIZED (SELECT cluster, unnest(range(1, 65)) AS i, unnest(e) AS x FROM f WHERE cluster < {k}),
+{", ".join(steps)},
+s AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (rid) JOIN s USING (cluster)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op3_licenses": OP3, "op6_sharding": OP6, "op8_warc": OP8, "op9_url_filters": OP9}
+    return {"op1_mixing": OP1, "op3_licenses": OP3, "op6_sharding": OP6, "op8_warc": OP8, "op9_url_filters": OP9, "op11_resampling": OP11, "op13_centroids": _op13()}
