@@ -215,7 +215,7 @@ def resample(docs: DataFrame, target: DataFrame, share: tuple[int, int] = (25, 1
     others.  An empty table gives no rows; an empty ``target`` is a uniform
     one.  Other columns are not read.
     """
-    rows = weights(docs, target, buckets)
+    rows = stage(weights(docs, target, buckets), "weights")  # cutting ranges reads its rows twice
     scored = rows.withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed)).withColumn("eligible", F.col("n_words") >= least_words)
     out = ranked(scored, share)
     return out.select("row", "doc_id", "n_features", "weight", "score", "rank")
