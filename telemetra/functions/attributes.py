@@ -110,7 +110,8 @@ def object_fields(df: DataFrame, id_cols: Sequence[str], variant: Column) -> Dat
     )
 
 
-def _tag_of_type(t: Column) -> Column:
+def tag_of_type(t: Column) -> Column:
+    """The tag of a value by its type as ``schema_of_variant`` names it; NULL for JSON null."""
     return (
         F.when(t == "VOID", F.lit(None).cast("string"))
         .when(t == "BOOLEAN", F.lit(TAG_BOOL))
@@ -130,7 +131,7 @@ def tag_of_variant(v: Column) -> Column:
     objects and arrays, which are stringified).  JSON null gives NULL: such
     attributes are dropped.
     """
-    return _tag_of_type(F.schema_of_variant(v))
+    return tag_of_type(F.schema_of_variant(v))
 
 
 def _text_of_type(v: Column, t: Column) -> Column:
@@ -148,13 +149,18 @@ def stringify_variant(v: Column) -> Column:
     return _text_of_type(v, F.schema_of_variant(v))
 
 
-def typed_variant(v: Column) -> Column:
-    """P6 + P7: a JSON value as a typed attribute struct; JSON null must be gone."""
-    tag, text = tag_of_variant(v), stringify_variant(v)
-    return F.struct(
-        F.when(tag == TAG_STRING, text).alias("S"),
-        F.when(tag == TAG_NUMBER, text).alias("N"),
-        F.when(tag == TAG_BOOL, text.try_cast("boolean")).alias("BOOL"),
+def typed_attrs(values: Column) -> Column:
+    """P6 + P7: a map of JSON values as a typed item; JSON nulls must be gone.
+
+    Three steps, each over the result of the one before, so that the type, the
+    tag and the text of a value are computed once.
+    """
+    typed = F.transform_values(values, lambda _k, v: F.struct(v.alias("v"), F.schema_of_variant(v).alias("t")))
+    tagged = F.transform_values(typed, lambda _k, x: F.struct(tag_of_type(x["t"]).alias("tag"), _text_of_type(x["v"], x["t"]).alias("text")))
+    tag_is = lambda x, tag: F.when(x["tag"] == tag, x["text"])
+    return F.transform_values(
+        tagged,
+        lambda _k, x: F.struct(tag_is(x, TAG_STRING).alias("S"), tag_is(x, TAG_NUMBER).alias("N"), tag_is(x, TAG_BOOL).try_cast("boolean").alias("BOOL")),
     )
 
 
@@ -172,6 +178,6 @@ def tagged_long_attrs(df: DataFrame, id_cols: Sequence[str], json_object: Column
     return typed.select(
         *id_cols,
         "attribute",
-        _tag_of_type(F.col("_t")).alias("tag"),
+        tag_of_type(F.col("_t")).alias("tag"),
         _text_of_type(F.col("v"), F.col("_t")).alias("value"),
     )

@@ -18,3 +18,13 @@ def where_once(df: DataFrame, cond: Column) -> DataFrame:
     """
     guarded = df.withColumn("__part", F.spark_partition_id())
     return guarded.where(cond & (F.col("__part") >= 0)).drop("__part")
+
+
+def computed_once(c: Column) -> Column:
+    """``c`` as it is, kept from being copied into the expressions that use it.
+
+    Catalyst merges neighbouring projections and writes a column's definition
+    wherever the column is read (each map lookup in an item would compute the
+    whole item).  Nondeterministic columns are never merged.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)

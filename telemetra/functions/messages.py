@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import READINGS
-from .attributes import drop_null_attrs, typed_variant
-from .evaluation import where_once
+from .attributes import drop_null_attrs, typed_attrs, unwrap_item
+from .evaluation import computed_once, where_once
 
 REASON_MALFORMED = "malformed_json"
 REASON_NO_DEVICE = "missing_device"
 REASON_NO_TIMESTAMP = "missing_timestamp"
 REASON_NO_DATA = "missing_data"
+REASONS = (REASON_MALFORMED, REASON_NO_DEVICE, REASON_NO_TIMESTAMP, REASON_NO_DATA)
 
 
 def parse_body(body: Column) -> Column:
@@ -40,10 +41,10 @@ def message_fields(parsed: Column) -> list[Column]:
 
 
 def message_item(parsed: Column) -> Column:
-    """The ``data`` object as a typed item, ``attribute -> {tag: text}``."""
+    """The ``data`` object as a typed item, ``attribute -> {tag: text}``; NULL when there is none."""
     data = F.try_variant_get(parsed, "$.data", "map<string,variant>")
     present = F.map_filter(data, lambda _k, v: ~F.coalesce(F.is_variant_null(v), F.lit(True)))
-    return F.transform_values(present, lambda _k, v: typed_variant(v))
+    return typed_attrs(present)
 
 
 def reject_reason(parsed: Column, device_id: Column, timestamp: Column, data: Column) -> Column:
@@ -61,26 +62,33 @@ def parse_messages(df: DataFrame, body_col: str = "body", keep: tuple[str, ...]
 
     One parse per row; ``reason`` is NULL for good records.  Split the result
     with :func:`split_rejects` — both outputs come from this single frame.
+    With ``items``, ``data`` is the item's text, and the item is computed once
+    however often it is used further on.
     """
     parsed = df.select(*keep, body_col, parse_body(F.col(body_col)).alias("_j"))
-    fields = parsed.select(*keep, body_col, "_j", *message_fields(F.col("_j")))
-    return fields.select(
+    fields = message_fields(F.col("_j"))
+    if items:
+        item = computed_once(message_item(F.col("_j")))
+        parsed = parsed.select(*keep, body_col, "_j", *fields[:2], item.alias("item"))
+        parsed = parsed.withColumn("data", unwrap_item(F.col("item")))
+    else:
+        parsed = parsed.select(*keep, body_col, "_j", *fields)
+    return parsed.select(
         *keep,
         body_col,
         "device_id",
         "timestamp",
         "data",
-        *([message_item(F.col("_j")).alias("item")] if items else []),
-        reject_reason(F.col("_j"), F.col("device_id"), F.col("timestamp"), F.col("data")).alias("reason"),
+        *(["item"] if items else []),
+        reject_reason(F.col("_j"), F.col("device_id"), F.col("timestamp"), F.col("item" if items else "data")).alias("reason"),
     )
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, rejects) — a bad record never stops or loses the others.
 
-    Each output still scans its input; to parse once for both, write the
-    parsed frame once (e.g. partitioned by ``reason``), as the stream ingest
-    does per micro-batch.
+    Each output still scans its input; :func:`telemetra.sinks.split.write_split`
+    writes both from one scan.
     """
     good = where_once(parsed, F.col("reason").isNull()).drop("reason")
     rejects = where_once(parsed, F.col("reason").isNotNull())

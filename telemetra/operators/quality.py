@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType
 
 from ..functions.nulls import null_count
 
@@ -52,18 +52,54 @@ def mean_column(c: str) -> str:
     return f"{c}_mean"
 
 
-def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+#: A double below 2 ** 60 in size is a whole and a 60-bit fraction part, each summed in digits of 20 bits.
+_DIGIT, _PART = 20, 60
+
+
+def exact_mean(c: Column, fractional: bool) -> Column:
+    """The mean of ``c`` from whole-number partial sums.
+
+    Sums of doubles depend on the order of their terms, so means differ in
+    their last bits from one partitioning to the next.  Here the part of a
+    value before the point and its first 60 bits behind it become two longs
+    (both exact: cutting off, the difference and scaling by a power of two
+    are), and their base 2 ** 20 digits are summed as longs, which hold 2 ** 43
+    rows.  What lies below 2 ** -60 is cut off, value by value.  Values of
+    2 ** 60 and more are summed as doubles.
+    """
+    if not fractional:
+        return F.sum(c.cast("decimal(38,0)")).cast("double") / F.count(c).cast("double")
+    fits = F.abs(c) < F.lit(2.0**_PART)
+    value = F.when(fits, c).cast("double")
+    whole = value.cast("long")
+    fraction = ((value - whole.cast("double")) * F.lit(2.0**_PART)).cast("long")
+    total = F.coalesce(F.sum(F.when(~fits, c)), F.lit(0.0))
+    for part, scale in ((whole, 0), (fraction, -_PART)):
+        for low in range(_PART - _DIGIT, -1, -_DIGIT):
+            digit = F.shiftright(part, low)  # of a negative part, too: floors of it, and what they leave
+            if low < _PART - _DIGIT:
+                digit = digit.bitwiseAND(F.lit((1 << _DIGIT) - 1))
+            total = total + F.coalesce(F.sum(digit), F.lit(0)).cast("double") * F.lit(2.0 ** (low + scale))
+    n = F.count(c)
+    return F.when(n > 0, total / n.cast("double"))
+
+
+def column_means(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """A1: one row of global means ignoring NULL and NaN.
 
-    A global aggregate: each task folds its rows into (sum, count) partials and
-    only those partials are exchanged, so the cost is one scan and a tiny
-    single-partition final merge, whatever the data size.
+    A global aggregate: each task folds its rows into partial sums and counts
+    and only those partials are exchanged, so the cost is one scan and a tiny
+    single-partition final merge, whatever the data size.  With ``exact`` the
+    means have the same bits however the rows are dealt out
+    (:func:`exact_mean`); without it they are Spark's ``avg``.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [
-        F.avg(_missing_to_null(F.col(c), isinstance(types[c], (DoubleType, FloatType)))).alias(mean_column(c))
-        for c in columns
-    ]
+    aggs = []
+    for c in columns:
+        fractional = isinstance(types[c], (DoubleType, FloatType))
+        value = _missing_to_null(F.col(c), fractional)
+        whole = isinstance(types[c], IntegralType)
+        aggs.append((exact_mean(value, fractional) if exact and (fractional or whole) else F.avg(value)).alias(mean_column(c)))
     return df.agg(*aggs)
 
 
