@@ -55,6 +55,7 @@ def statements() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["table_scan"] = "SELECT * FROM events"
     sql["scan_capped"] = "SELECT * FROM events ORDER BY event_id LIMIT 1000"
+    sql["scan_page"] = "SELECT * FROM lineitem ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 10000"
     sql["item_unwrap"] = _with(TELEMETRY) + "SELECT event_id, device_id, event_ts, temperature, pressure, humidity FROM telemetry"
     sql["item_scan_capped"] = _with(TELEMETRY) + (
         "SELECT event_id, device_id, event_ts, temperature, pressure, humidity FROM telemetry ORDER BY event_id LIMIT 1000"
@@ -80,6 +81,9 @@ WHERE ({MESSAGE_REASON}) IS NULL"""
 UNION ALL SELECT event_id, 'pressure', pressure FROM telemetry WHERE pressure IS NOT NULL
 UNION ALL SELECT event_id, 'humidity', humidity FROM telemetry WHERE humidity IS NOT NULL"""
     sql["flatten_attrs"] = _with(TELEMETRY) + "SELECT event_id, temperature, pressure, humidity, 1 AS n_extras FROM telemetry"
+    sql["flatten_all"] = f"""SELECT event_id, value > 100 AS alarm, user_id AS count, event_type AS kind,
+  json_extract_string({TAGGED_DOC}, '$.props') AS props, value AS reading
+FROM events"""
     sql["tag_attrs"] = f"""WITH j AS (SELECT event_id, {TAGGED_DOC} AS doc FROM events)
 SELECT event_id, k AS attribute,
   CASE json_type(doc, '$.' || k) WHEN 'BOOLEAN' THEN 'BOOL'
@@ -103,6 +107,15 @@ WHERE event_type IN ('click', 'purchase') AND value > 100 AND user_id % 4 IN (1,
     sql["reject_split"] = _with(TELEMETRY) + f"""SELECT event_id, reason FROM (
   SELECT event_id, {MESSAGE_REASON} AS reason FROM telemetry) r
 WHERE reason IS NOT NULL"""
+    sql["parse_split"] = _with(TELEMETRY) + f"""SELECT event_id, coalesce(reason, 'good') AS outcome,
+  CASE WHEN reason IS NULL THEN device_id END AS device_id, CASE WHEN reason IS NULL THEN {ISO} END AS timestamp,
+  CASE WHEN reason IS NULL THEN temperature END AS temperature, CASE WHEN reason IS NULL THEN pressure END AS pressure,
+  CASE WHEN reason IS NULL THEN humidity END AS humidity
+FROM (SELECT *, {MESSAGE_REASON} AS reason FROM telemetry) r"""
+    sql["split_counts"] = _with(TELEMETRY) + f"""SELECT outcome, count(reason) AS n
+FROM (VALUES ('good'), ('malformed_json'), ('missing_device'), ('missing_timestamp'), ('missing_data'), ('other')) AS o(outcome)
+LEFT JOIN (SELECT coalesce({MESSAGE_REASON}, 'good') AS reason FROM telemetry) r ON reason = outcome
+GROUP BY outcome"""
     sql["column_means"] = _with(TELEMETRY, CLEANED) + """SELECT ROUND(AVG(temperature), 6) AS temperature_mean,
   ROUND(AVG(pressure), 6) AS pressure_mean, ROUND(AVG(humidity), 6) AS humidity_mean
 FROM cleaned"""

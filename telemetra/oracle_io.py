@@ -42,6 +42,23 @@ UNION ALL SELECT * FROM s"""
 good AS (SELECT * FROM m WHERE ({MESSAGE_REASON}) IS NULL),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id, event_ts ORDER BY arrival DESC) AS rn FROM good)
 SELECT device_id, {ISO} AS timestamp, temperature, pressure, humidity FROM ranked WHERE rn = 1"""
-    sql["stream_fold"] = sql["stream_ingest"]
+    sql["stream_fold"] = sql["stream_keyed_state"] = sql["stream_ingest"]
+    # of the missing readings, the fixture sends some as a text or a flag, the others as null
+    sql["stream_merge_on_read"] = sql["stream_ingest"].replace(
+        "temperature, pressure, humidity FROM ranked",
+        """temperature, pressure, humidity,
+  CAST(temperature IS NOT NULL OR event_id % 40 = 0 AS INT) + CAST(pressure IS NOT NULL AS INT)
+    + CAST(humidity IS NOT NULL OR event_id % 44 = 0 AS INT) AS n_attributes,
+  CAST(event_id % 40 = 0 AS INT) + CAST(event_id % 44 = 0 AS INT) AS n_extras,
+  CASE WHEN event_id % 40 = 0 THEN 'zz' END AS temperature_text,
+  CASE WHEN event_id % 44 = 0 THEN true END AS humidity_flag, pressure AS pressure_number
+FROM ranked""",
+    )
+    sql["recrawl_schema"] = _with(TELEMETRY) + """SELECT event_id, device_id,
+  CASE WHEN event_id % 2 = 0 THEN floor(temperature) ELSE temperature END AS temperature,
+  CASE WHEN event_id % 2 = 1 THEN temperature > 100 END AS alarm,
+  CASE WHEN event_id % 2 = 1 THEN humidity END AS humidity
+FROM telemetry"""
+    sql["partitioned_crawl"] = _with(TELEMETRY) + "SELECT event_id, temperature, device_id, event_id % 7 AS slot FROM telemetry"
     sql["change_refresh"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
     return sql

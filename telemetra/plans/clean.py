@@ -17,7 +17,7 @@ exchange of step 3 plus the tiny partial-aggregate merge of the means.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -73,6 +73,7 @@ def run_clean_job(
     on_all_null: str = "error",
     fused: bool = True,
     reinsert: bool = False,
+    marks: Mapping[str, int] | None = None,
 ) -> str:
     """C1 with a sink: clean ``source`` into the lake ``table``; returns the version.
 
@@ -85,7 +86,7 @@ def run_clean_job(
     insert load (K3, no dedup), the two key deletes, then the imputed rows
     are *appended* (K4) instead of upserted, so every surviving key ends up
     twice — once as stored, once imputed.  Kept for parity; the upsert is the
-    canonical form.
+    canonical form.  ``marks`` are set by the last commit.
     """
     from ..operators.quality import null_key_rows, sparse_rows
 
@@ -96,15 +97,15 @@ def run_clean_job(
         threshold = sparse_threshold(keys, readings, total_columns)
         table.delete(sparse_rows(table.read(), readings, threshold, inclusive=inclusive))
         imputed = impute_mean(table.read(), readings, on_all_null=on_all_null)
-        return table.insert_append(imputed)
+        return table.insert_append(imputed, marks)
     if fused:
         cleaned = clean_telemetry(
             source, keys, readings, order_by, inclusive, total_columns, on_all_null
         )
-        return table.insert_overwrite(cleaned)  # already one row per key
+        return table.insert_overwrite(cleaned, marks)  # already one row per key
     table.overwrite(cast_readings(source, readings), order_by)
     table.delete(null_key_rows(table.read(), keys))
     threshold = sparse_threshold(keys, readings, total_columns)
     table.delete(sparse_rows(table.read(), readings, threshold, inclusive=inclusive))
     imputed = impute_mean(table.read(), readings, on_all_null=on_all_null)
-    return table.upsert(imputed, order_by)
+    return table.upsert(imputed, order_by, marks)

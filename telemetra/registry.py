@@ -20,13 +20,16 @@ from .functions.attributes import drop_null_attrs, flatten_attrs, long_attrs, ta
 from .functions.casts import cast_readings
 from .functions.evaluation import where_once
 from .functions.messages import parse_messages, readings_columns, split_rejects
-from .functions.nulls import null_count
+from .functions.nulls import half_threshold, non_key_columns, null_count
 from .functions.predicates import event_pattern, topic_is
+from .operators.flatten import flatten_all
 from .operators.infer import inferred_fields
 from .operators.inspect import capped_scan, preview, schema_report
 from .operators.quality import column_means, drop_null_keys, drop_sparse_rows, impute_mean, null_key_rows, sparse_rows
 from .plans.clean import clean_telemetry, sparse_threshold
+from .registry_io import CHANGE_PATTERN
 from .session import work_dir
+from .sinks.split import write_split
 from .sources.fixtures import (
     CHANGE_EVENT_SCHEMA,
     change_events,
@@ -38,14 +41,6 @@ from .sources.tables import catalog_scan, read_records, read_table, read_unwrapp
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
-#: Pattern used by the change-event queries.
-CHANGE_PATTERN = {
-    "source": ["svc.click", "svc.purchase"],
-    "detail-type": ["Update Stream Event"],
-    "detail": {"eventSourceARN": ["arn:table/t1", "arn:table/t3"]},
-}
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
@@ -76,6 +71,11 @@ def q_scan_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped_scan(events(spark, sf_dir), ["event_id"], 1000)
 
 
+def q_scan_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2/L1 at the full cap of one page, by a key whose first column has ties."""
+    return capped_scan(read_table(spark, sf_dir, "lineitem"), ["l_shipdate DESC", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
 ITEM_COLUMNS = {
     "event_id": "bigint",
     "device_id": "string",
@@ -179,6 +179,11 @@ def q_flatten_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("event_id", *READINGS, F.size("extras").alias("n_extras"))
 
 
+def q_flatten_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: every attribute found in the JSON objects becomes a typed column."""
+    return flatten_all(tagged_json(events(spark, sf_dir)), "doc", ["event_id"])
+
+
 def q_tag_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type tag and text of every non-null JSON attribute."""
     docs = tagged_json(events(spark, sf_dir))
@@ -188,8 +193,9 @@ def q_tag_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_row_null_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NULL count of the readings and the sparse threshold."""
     tele = telemetry(spark, sf_dir)
-    thr = sparse_threshold(FIXTURE_KEY, READINGS)
-    return tele.select("event_id", null_count(READINGS).alias("null_count"), F.lit(thr).alias("threshold"))
+    counted = [c for c in tele.columns if c != "event_id"]
+    measured = non_key_columns(counted, FIXTURE_KEY)
+    return tele.select("event_id", null_count(measured).alias("null_count"), F.lit(half_threshold(len(counted))).alias("threshold"))
 
 
 # --- filters -----------------------------------------------------------------------
@@ -241,6 +247,24 @@ def q_reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("event_id", "reason")
 
 
+def _written_split(spark: SparkSession, sf_dir: str):
+    parsed = parse_messages(message_bodies(telemetry(spark, sf_dir)), keep=("event_id",))
+    rows = parsed.select("event_id", "device_id", "timestamp", *readings_columns(F.col("data")), "reason")
+    return write_split(rows, work_dir(spark, "split"))
+
+
+def q_parse_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """good messages and rejects, both from one parse and one write."""
+    split = _written_split(spark, sf_dir)
+    good = split.good.select("event_id", F.lit("good").alias("outcome"), "device_id", "timestamp", *READINGS)
+    return good.unionByName(split.rejects.select("event_id", F.col("reason").alias("outcome")), allowMissingColumns=True)
+
+
+def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows by outcome, observed while the split was written."""
+    return spark.createDataFrame(list(_written_split(spark, sf_dir).counts.items()), "outcome string, n long")
+
+
 # --- aggregations ------------------------------------------------------------------
 
 
@@ -299,6 +323,7 @@ def builders() -> dict[str, Builder]:
     out: dict[str, Builder] = {
         "table_scan": q_table_scan,
         "scan_capped": q_scan_capped,
+        "scan_page": q_scan_page,
         "item_unwrap": q_item_unwrap,
         "item_scan_capped": q_item_scan_capped,
         "records_frame": q_records_frame,
@@ -307,6 +332,7 @@ def builders() -> dict[str, Builder]:
         "parse_body": q_parse_body,
         "drop_null_attrs": q_drop_null_attrs,
         "flatten_attrs": q_flatten_attrs,
+        "flatten_all": q_flatten_all,
         "tag_attrs": q_tag_attrs,
         "row_null_count": q_row_null_count,
         "null_key_rows": q_null_key_rows,
@@ -315,6 +341,8 @@ def builders() -> dict[str, Builder]:
         "topic_route": q_topic_route,
         "event_pattern": q_event_pattern,
         "reject_split": q_reject_split,
+        "parse_split": q_parse_split,
+        "split_counts": q_split_counts,
         "column_means": q_column_means,
         "impute_mean": q_impute_mean,
         "preview": q_preview,

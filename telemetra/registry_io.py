@@ -9,14 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import FIXTURE_KEY, READINGS
+from .constants import FIXTURE_KEY, READINGS, RECORD_KEY
+from .operators.infer import crawl
 from .plans.clean import clean_telemetry, run_clean_job
 from .session import work_dir
 from .sinks.lake import LakeTable
-from .sources.fixtures import change_events, message_bodies
-from .streaming.changes import refresh_on_change
-from .streaming.ingest import fold_log, latest_items, start_ingest
-
+from .sources.fixtures import ISO_FORMAT, change_events, message_bodies
+from .sources.tables import catalog_scan
+from .streaming.changes import refresh_table_on_change
+from .streaming.ingest import current_items, fold_log, latest_items, start_ingest, start_keyed_state
+
+#: Pattern used by the change-event queries.
+CHANGE_PATTERN = {
+    "source": ["svc.click", "svc.purchase"],
+    "detail-type": ["Update Stream Event"],
+    "detail": {"eventSourceARN": ["arn:table/t1", "arn:table/t3"]},
+}
 EVENT_KEY = ("user_id", "event_type")
 EVENT_ORDER = ("ts", "event_id")
 
@@ -45,6 +53,11 @@ def events_table(spark: SparkSession, tag: str) -> LakeTable:
     return LakeTable(spark, work_dir(spark, tag), f"{tag}_{_uid()}", EVENT_KEY, ("event_type",))
 
 
+def bucketed_table(spark: SparkSession, tag: str) -> LakeTable:
+    """A lake table in a fixed number of key buckets, however many keys there are."""
+    return LakeTable(spark, work_dir(spark, tag), f"{tag}_{_uid()}", EVENT_KEY, buckets=8)
+
+
 def _uid() -> str:
     import uuid
 
@@ -87,7 +100,7 @@ def q_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: load the even events, upsert the odd ones."""
     ev = _events(spark, sf_dir)
-    table = events_table(spark, "upsert_merge")
+    table = bucketed_table(spark, "upsert_merge")
     table.overwrite(ev.where(F.col("event_id") % 2 == 0), EVENT_ORDER)
     table.upsert(ev.where(F.col("event_id") % 2 == 1), EVENT_ORDER)
     return table.read()
@@ -96,7 +109,7 @@ def q_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: plain insert of all events, then delete the keys of rows with value > 100."""
     ev = _events(spark, sf_dir)
-    table = events_table(spark, "delete_by_key")
+    table = bucketed_table(spark, "delete_by_key")
     table.insert_overwrite(ev)
     table.delete(table.read().where(F.col("value") > 100))
     return table.read()
@@ -149,45 +162,109 @@ def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = LakeTable(spark, f"{root}/lake", f"items_{_uid()}", ("device_id", "timestamp"), ("device_id",))
     message_bodies(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-1")
     start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
-    done = fold_log(table, spark, log)
+    fold_log(table, spark, log)
     resent_messages(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-2")
     start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
-    fold_log(table, spark, log, after_batch=done)
+    fold_log(table, spark, log)
     return table.read().select("device_id", "timestamp", *READINGS)
 
 
+def q_stream_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 merged on read: the first arrival is folded, the second still lies in
+    the log; readings, and every other attribute with its tag (P6, P7)."""
+    tele = _telemetry(spark, sf_dir)
+    root = work_dir(spark, "stream_mor")
+    src, log, ckpt = f"{root}/source", f"{root}/log", f"{root}/checkpoint"
+    table = LakeTable(spark, f"{root}/lake", f"items_{_uid()}", RECORD_KEY, buckets=8)
+    message_bodies(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-1")
+    start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
+    fold_log(table, spark, log)
+    resent_messages(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-2")
+    start_ingest(spark, f"{src}/*", log, ckpt, max_files_per_trigger=4).awaitTermination()
+    items = current_items(table, spark, log)
+    item, extras = F.col("item"), F.col("extras")
+    return items.select(
+        *RECORD_KEY,
+        *READINGS,
+        F.size(item).alias("n_attributes"),
+        F.size(extras).alias("n_extras"),
+        item["temperature"]["S"].alias("temperature_text"),
+        item["humidity"]["BOOL"].alias("humidity_flag"),
+        item["pressure"]["N"].cast("double").alias("pressure_number"),
+    )
+
+
+def q_stream_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 through the stream's state: the latest row per key, upserted batch by batch."""
+    tele = _telemetry(spark, sf_dir)
+    root = work_dir(spark, "stream_state")
+    src, ckpt = f"{root}/source", f"{root}/checkpoint"
+    table = LakeTable(spark, f"{root}/lake", f"state_{_uid()}", RECORD_KEY, buckets=8)
+    message_bodies(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-1")
+    start_keyed_state(table, spark, f"{src}/*", ckpt).awaitTermination()
+    resent_messages(tele).select(F.col("body").alias("value")).write.text(f"{src}/arrival-2")
+    start_keyed_state(table, spark, f"{src}/*", ckpt).awaitTermination()
+    return table.read().select(*RECORD_KEY, *READINGS)
+
+
+def _as_records(df: DataFrame) -> DataFrame:
+    return df.select(F.to_json(F.struct(*df.columns), {"timestampNTZFormat": ISO_FORMAT}).alias("value"))
+
+
+def q_recrawl_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two crawls into one name; between them a reading turns from whole
+    numbers to fractions and two fields appear."""
+    tele = _telemetry(spark, sf_dir)
+    root, odd = work_dir(spark, "recrawl"), F.col("event_id") % 2 == 1
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS telemetra_src LOCATION '{root}/catalog'")
+    name = f"telemetra_src.recrawl_{_uid()}"
+    whole = tele.where(~odd).select("event_id", "device_id", F.floor("temperature").alias("temperature"))
+    _as_records(whole).write.text(f"{root}/records")
+    crawl(spark, name, f"{root}/records")
+    wider = tele.where(odd).select("event_id", "device_id", "temperature", "humidity", (F.col("temperature") > 100).alias("alarm"))
+    _as_records(wider).write.mode("append").text(f"{root}/records")
+    return catalog_scan(spark, crawl(spark, name, f"{root}/records"))
+
+
+def q_partitioned_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records below partition folders, registered with the folders' columns and types."""
+    root = work_dir(spark, "partitioned_crawl")
+    tele = _telemetry(spark, sf_dir).select("event_id", "temperature", "device_id", (F.col("event_id") % 7).alias("slot"))
+    records = tele.select(F.to_json(F.struct("event_id", "temperature")).alias("value"), "device_id", "slot")
+    records.hint("rebalance", "device_id", "slot").write.partitionBy("device_id", "slot").text(f"{root}/records")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS telemetra_src LOCATION '{root}/catalog'")
+    return catalog_scan(spark, crawl(spark, f"telemetra_src.partitioned_{_uid()}", f"{root}/records"))
+
+
 def q_change_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change events drained by a stream; a match runs the refresh once.
+    """Two rounds of change events, each drained by a stream; a match runs the refresh once.
 
     The refresh is the whole chain: the raw item records are crawled (S7:
-    schema discovered over all records, JSON table registered), scanned by
-    name (S1), cleaned (C1) and loaded into the lake table (K1).
+    schema discovered over all records, merged into the registered table),
+    scanned by name (S1), cleaned (C1) and loaded into the lake table (K1),
+    whose commit marks the events as served.  The records of the first round
+    have no humidity; the second round brings the others, and with them that
+    field, into the same table.
     """
-    from .operators.infer import inferred_fields, register_inferred_table
-    from .registry import CHANGE_PATTERN
-    from .sources.fixtures import ISO_FORMAT
-    from .sources.tables import catalog_scan
-
     root = work_dir(spark, "change_refresh")
-    change_events(_events(spark, sf_dir)).select(F.col("body").alias("value")).write.text(f"{root}/changes")
+    tele, changes = _telemetry(spark, sf_dir), change_events(_events(spark, sf_dir))
     table = telemetry_table(spark, "refreshed")
-
-    def job() -> DataFrame:
-        tele = _telemetry(spark, sf_dir)
-        records = f"{root}/items"
-        as_json = F.to_json(F.struct(*tele.columns), {"timestampNTZFormat": ISO_FORMAT})
-        tele.select(as_json.alias("value")).write.text(records)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS telemetra_src LOCATION '{root}/catalog'")
-        fields = inferred_fields(spark.read.text(records), "value")
-        name = register_inferred_table(spark, fields, f"telemetra_src.items_{_uid()}", records, fmt="json")
-        source = catalog_scan(spark, name).withColumn("event_ts", F.col("event_ts").try_cast("timestamp_ntz"))
-        run_clean_job(table, source, ["event_id"], fused=True)
-        return _round(table.read())
-
-    out = refresh_on_change(spark, f"{root}/changes", CHANGE_PATTERN, f"{root}/matches", f"{root}/checkpoint", job)
-    if out is None:  # nothing matched: no refresh ran, so nothing was (re)written
-        return _round(clean_telemetry(_telemetry(spark, sf_dir), order_by=["event_id"])).where(F.lit(False))
-    return out
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS telemetra_src LOCATION '{root}/catalog'")
+    name = f"telemetra_src.items_{_uid()}"
+
+    def job(marks: dict[str, int]) -> None:
+        source = catalog_scan(spark, crawl(spark, name, f"{root}/items"))
+        missing = {c: F.lit(None).cast("double") for c in READINGS if c not in source.columns}
+        source = source.withColumns(missing | {"event_ts": F.col("event_ts").try_cast("timestamp_ntz")}).select(*tele.columns)
+        run_clean_job(table, source, ["event_id"], fused=True, on_all_null="keep", marks=marks)
+
+    for k, arrived in enumerate((F.col("humidity").isNull(), F.col("humidity").isNotNull())):
+        _as_records(tele.where(arrived)).write.mode("append").text(f"{root}/items")
+        changes.where(F.col("event_id") % 2 == k).select(F.col("body").alias("value")).write.mode("append").text(f"{root}/changes")
+        refresh_table_on_change(table, f"{root}/changes", CHANGE_PATTERN, f"{root}/matches", f"{root}/checkpoint", job)
+    if not table.exists():  # nothing matched: no refresh ran
+        return _round(clean_telemetry(tele, order_by=["event_id"])).where(F.lit(False))
+    return _round(table.read())
 
 
 def builders() -> dict:
@@ -203,5 +280,9 @@ def builders() -> dict:
         "clean_job_notebook": q_clean_job_notebook,
         "stream_ingest": q_stream_ingest,
         "stream_fold": q_stream_fold,
+        "stream_merge_on_read": q_stream_merge_on_read,
+        "stream_keyed_state": q_stream_keyed_state,
+        "recrawl_schema": q_recrawl_schema,
+        "partitioned_crawl": q_partitioned_crawl,
         "change_refresh": q_change_refresh,
     }

@@ -82,3 +82,30 @@ def refresh_on_change(
     out = job()
     spark.range(1).select(F.lit(True).alias("done")).write.mode("overwrite").parquet(f"{refreshed_dir}/batch_id={latest}")
     return out
+
+
+def refresh_table_on_change(
+    table,
+    source_dir: str,
+    pattern: Mapping[str, object],
+    matches_dir: str,
+    checkpoint_dir: str,
+    job: Callable[[dict[str, int]], object],
+    mark: str = "changes",
+) -> bool:
+    """C3 into a lake table: drain change events; when new ones matched, run
+    ``job(marks)`` once.  Returns whether it ran.
+
+    ``job`` passes ``marks`` to its last commit to ``table``.  The last batch
+    refreshed is thereby known exactly when its rows are: a crash before that
+    commit leaves the events to be served, one after it does not repeat them.
+    """
+    spark = table.spark
+    drain_matches(spark, source_dir, pattern, matches_dir, checkpoint_dir)
+    latest = last_batch(spark, matches_dir, CHANGE_EVENT_SCHEMA)
+    if latest <= table.mark(mark):
+        return False
+    job({mark: latest})
+    if table.mark(mark) != latest:
+        raise RuntimeError("the refresh has not committed its marks")
+    return True

@@ -17,22 +17,28 @@ per micro-batch, ``foreachBatch``:
 The keyed table (K6) is the log folded to the latest row per key
 (:func:`latest_items`): whole rows replace whole rows, the later batch wins,
 inside a batch the later line wins.  Folding into the lake table is a batch
-upsert (:meth:`telemetra.sinks.lake.LakeTable.upsert`) with the same order.
+upsert (:meth:`telemetra.sinks.lake.LakeTable.upsert`) with the same order; the
+last batch folded is a mark of the commit.  :func:`current_items` reads the
+folded table and only the batches after that mark.
+
+:func:`start_keyed_state` keeps the latest row of each key in the stream's state
+store instead and upserts each batch's changed keys into a lake table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import READINGS, RECORD_KEY, TOPIC
-from ..functions.attributes import ITEM_TYPE, flatten_attrs, unwrap_item
+from ..functions.attributes import ITEM_TYPE, flatten_attrs
+from ..functions.evaluation import where_once
 from ..functions.messages import parse_messages
 from ..functions.predicates import topic_is
-from ..operators.keyed import latest_per_key
+from ..operators.keyed import delete_keys, latest_per_key
 
 ARRIVAL = ("_arrival_time", "_arrival_file", "_arrival_block", "_arrival_pos")
 ARRIVAL_ORDER = ("batch_id", *ARRIVAL)
@@ -48,12 +54,30 @@ def log_schema(readings: Sequence[str] = READINGS) -> str:
     )
 
 
+def broker_rows(raw: DataFrame) -> DataFrame:
+    """Broker records (value, topic, partition, offset) as message bodies.
+
+    Inside a partition the offset alone orders them: a timestamp set by a late
+    or wrong clock has no say, so ``_arrival_time`` is NULL.  Between
+    partitions there is no order but a fixed one, by topic and partition.
+    """
+    return raw.select(
+        F.col("value").cast("string").alias("body"),
+        F.lit(None).cast("timestamp").alias("_arrival_time"),
+        F.col("topic").alias("_arrival_file"),
+        F.col("partition").cast("bigint").alias("_arrival_block"),
+        F.col("offset").alias("_arrival_pos"),
+        F.col("topic").alias("_topic"),
+    )
+
+
 def message_stream(
     spark: SparkSession,
     source: str,
     max_files_per_trigger: int | None = None,
     source_format: str = "text",
     options: dict[str, str] | None = None,
+    max_records_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming message bodies with their arrival position.
 
@@ -63,24 +87,17 @@ def message_stream(
     ``topic=<name>`` is that name, of any other file the default one.
     ``source_format="kafka"``: ``source``
     is the topic (the connector package must be on the classpath; it is not
-    in this image); arrival = (broker timestamp, topic-partition, partition,
-    offset), so per-partition order is the broker's.
+    in this image); arrival = (topic, partition, offset), see
+    :func:`broker_rows`.  ``max_files_per_trigger`` bounds a micro-batch of
+    the file source, ``max_records_per_trigger`` one of the broker.
     """
     if source_format == "kafka":
         reader = spark.readStream.format("kafka").option("subscribe", source)
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
-        if max_files_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", str(max_files_per_trigger))
-        raw = reader.load()
-        return raw.select(
-            F.col("value").cast("string").alias("body"),
-            F.col("timestamp").alias("_arrival_time"),
-            F.concat_ws("-", F.col("topic"), F.col("partition").cast("string")).alias("_arrival_file"),
-            F.col("partition").cast("bigint").alias("_arrival_block"),
-            F.col("offset").alias("_arrival_pos"),
-            F.col("topic").alias("_topic"),
-        )
+        if max_records_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_records_per_trigger))
+        return broker_rows(reader.load())
     reader = spark.readStream.format(source_format)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
@@ -92,10 +109,25 @@ def message_stream(
         F.col("_metadata.file_modification_time").alias("_arrival_time"),
         F.col("_metadata.file_name").alias("_arrival_file"),
         F.col("_metadata.file_block_start").alias("_arrival_block"),
-        F.coalesce(F.nullif(F.regexp_extract(F.col("_metadata.file_path"), "/topic=([^/]+)/", 1), F.lit("")), F.lit(TOPIC)).alias("_topic"),
+        _folder_topic().alias("_topic"),
     )
 
 
+def _folder_topic() -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(F.col("_metadata.file_path"), "/topic=([^/]+)/", 1), F.lit("")), F.lit(TOPIC))
+
+
+def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S6 from files of moderate size, each read whole: the line number is part
+    of the message itself, so a streaming aggregate can order by it."""
+    reader = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)) if max_files_per_trigger else spark.readStream
+    files = reader.text(source, wholetext=True).select(
+        "value", F.col("_metadata.file_modification_time").alias("_arrival_time"), F.col("_metadata.file_name").alias("_arrival_file"), _folder_topic().alias("_topic")
+    )
+    lines = files.select("*", F.posexplode(F.split("value", "\r?\n")).alias("_arrival_pos", "body")).where("body <> ''")
+    return lines.select("body", "_arrival_time", "_arrival_file", F.lit(0).cast("bigint").alias("_arrival_block"), F.col("_arrival_pos").cast("bigint"), "_topic")
+
+
 def batch_rows(batch: DataFrame, batch_id: int, readings: Sequence[str] = READINGS, topic: str = TOPIC) -> DataFrame:
     """One micro-batch -> log rows of the topic (good rows typed, rejects with body and reason).
 
@@ -111,7 +143,7 @@ def batch_rows(batch: DataFrame, batch_id: int, readings: Sequence[str] = READIN
     return parsed.select(
         "device_id",
         "timestamp",
-        *flatten_attrs(unwrap_item(F.col("item")), readings),
+        *flatten_attrs(F.col("data"), readings),
         "item",
         F.when(~good, F.col("body")).alias("body"),
         "reason",
@@ -125,6 +157,45 @@ def write_batch(batch: DataFrame, batch_id: int, log_dir: str, readings: Sequenc
     rows.write.mode("overwrite").parquet(f"{log_dir}/batch_id={batch_id}")
 
 
+def keyed_state(messages: DataFrame, keys: Sequence[str] = RECORD_KEY, readings: Sequence[str] = READINGS, topic: str = TOPIC) -> DataFrame:
+    """K6 as a streaming aggregate: the latest good row of each key by arrival.
+
+    ``max_by`` keeps one row per key in the state store and combines map-side,
+    so a hot key sends one row per task.  In update mode each batch gives the
+    keys whose row changed.  The state holds every key ever seen (the key
+    contains the message's time): on a cluster use the RocksDB provider, or
+    :func:`start_ingest` and :func:`fold_log`, which keep no state.
+    """
+    parsed = parse_messages(messages.where(topic_is(F.col("_topic"), topic)), keep=ARRIVAL, items=True)
+    good = where_once(parsed, F.col("reason").isNull())
+    others = [r for r in readings if r not in keys]
+    rows = good.select(*keys, F.struct(*flatten_attrs(F.col("data"), others), "item").alias("row"), F.struct(*ARRIVAL).alias("arrival"))
+    latest = rows.groupBy(*keys).agg(F.max_by("row", "arrival").alias("row"), F.max("arrival").alias("arrival"))
+    return latest.select(*keys, "row.*", "arrival.*")
+
+
+def start_keyed_state(
+    table,
+    spark: SparkSession,
+    source: str,
+    checkpoint_dir: str,
+    max_files_per_trigger: int | None = None,
+    mark: str = "state",
+) -> StreamingQuery:
+    """K6: drain the files at ``source`` into ``table`` through the stream's state.
+
+    Each micro-batch upserts its changed keys; its number is a mark of that
+    commit, so a batch that is repeated after a crash is not applied again.
+    """
+
+    def put(changed: DataFrame, batch_id: int) -> None:
+        if batch_id > table.mark(mark):
+            table.upsert(changed, list(ARRIVAL), marks={mark: batch_id})
+
+    state = keyed_state(line_stream(spark, source, max_files_per_trigger))
+    return state.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
+
+
 def start_ingest(
     spark: SparkSession,
     source: str,
@@ -171,20 +242,54 @@ def latest_items(
     return latest.select(*keys, *[r for r in readings if r not in keys], "extras", "item")
 
 
-def fold_log(table, spark: SparkSession, log_dir: str, after_batch: int = -1) -> int:
-    """Fold the ingest log (batches after ``after_batch``) into a lake table;
-    returns the last batch folded, the ``after_batch`` of the next fold.
+def unfolded(spark: SparkSession, log_dir: str, after_batch: int, readings: Sequence[str] = READINGS) -> DataFrame:
+    """The good log rows of the batches after ``after_batch``; only their folders are read."""
+    return read_log(spark, log_dir, readings).where(F.col("reason").isNull() & (F.col("batch_id") > after_batch))
+
 
-    That batch is read first and bounds the fold, so one that lands meanwhile
-    is left to the next fold.  Without a new batch nothing is committed.
+def fold_log(table, spark: SparkSession, log_dir: str, after_batch: int = -1, mark: str = "log") -> int:
+    """Fold the ingest log's batches that are not folded yet into a lake table;
+    returns the last batch folded.
+
+    How far the log has been folded is a mark of the table's commit, set in the
+    same view switch as the rows: a fold repeated after a crash either finds
+    its mark and does nothing, or none of its rows.  (``after_batch`` holds
+    batches back that were folded without a mark.)  The last batch is read
+    first and bounds the fold, so one that lands meanwhile is left to the next.
+    Without a new batch nothing is committed.
 
     A batch upsert (K2) with the arrival order as precombine: the lake table
     ends up with exactly the rows :func:`latest_items` shows.  Only the
     partitions the new batches touch are rewritten.
     """
+    done = max(after_batch, table.mark(mark))
     last = spark.read.schema("batch_id bigint").parquet(log_dir).agg(F.max("batch_id")).first()[0]
-    if last is None or last <= after_batch:
-        return after_batch
-    good = read_log(spark, log_dir).where(F.col("reason").isNull() & (F.col("batch_id") > after_batch) & (F.col("batch_id") <= last))
-    table.upsert(good.drop("body", "reason"), list(ARRIVAL_ORDER))
+    if last is None or last <= done:
+        return done
+    good = unfolded(spark, log_dir, done).where(F.col("batch_id") <= last)
+    table.upsert(good.drop("body", "reason"), list(ARRIVAL_ORDER), marks={mark: last})
     return last
+
+
+def current_items(
+    table,
+    spark: SparkSession,
+    log_dir: str,
+    readings: Sequence[str] = READINGS,
+    mark: str = "log",
+) -> DataFrame:
+    """K6 merged on read: the folded table, with the batches after its mark on top.
+
+    The rows are those of :func:`latest_items`, but only unfolded batches are
+    read and de-duplicated, and one anti-join replaces their keys in the folded
+    rows.  Table and mark are of one version: a fold that commits between this
+    call and its evaluation changes nothing.
+    """
+    keys = table.keys
+    columns = [*keys, *[r for r in readings if r not in keys], "extras", "item"]
+    if not table.exists():
+        return latest_items(spark, log_dir, keys, readings)
+    folded, marks = table.read_marked()
+    folded, done = folded.select(*columns), marks.get(mark, -1)
+    fresh = latest_per_key(unfolded(spark, log_dir, done, readings), keys, list(ARRIVAL_ORDER), null_safe=False).select(*columns)
+    return delete_keys(folded, fresh.select(*keys), keys, distinct=False).unionByName(fresh)
