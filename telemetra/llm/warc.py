@@ -4,25 +4,35 @@ A record is split into its exact header bytes and its payload.  Payloads are
 stored once, under the SHA-256 of their bytes; headers are stored per record
 with that address.  Joining the two gives back each WARC/1.1 record byte for
 byte, and what the readers report is parsed from these records.
+
+The payload store is bucketed by address: payloads cross the network once, on
+their way into it, and a read moves headers to the payloads' buckets.  The few
+payloads that very many records share are read apart, each copied once for
+every ``SHARE`` of its records, so that none gathers its records in one task.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.staging import stage
+from ..session import work_dir
 
 CRLF = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+#: Records of one payload that a task reads, at most.
+SHARE = 500
 
 
 @dataclass(frozen=True)
 class Archive:
-    """``payloads``: (address, payload); ``headers``: (record, address, header)."""
+    """``payloads``: (address, payload, copies); ``headers``: (record, address, header, copies);
+    ``copies`` is the number of records with that payload."""
 
     payloads: DataFrame
     headers: DataFrame
@@ -60,9 +70,9 @@ def write(pages: DataFrame, least_bytes: int = 0) -> Archive:
 
     # one row per address, combined map-side: a payload that a third of all pages share is not gathered
     order = F.struct(F.col("page_id").isNull(), "page_id", "record")
-    first = digests.groupBy("address").agg(F.min(order).alias("first"), F.min("sha1").alias("least"), F.max("sha1").alias("most"), F.min("bytes").alias("short"), F.max("bytes").alias("long"))
+    first = digests.groupBy("address").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("sha1").alias("least"), F.max("sha1").alias("most"), F.min("bytes").alias("short"), F.max("bytes").alias("long"))
     clash = (F.col("least") != F.col("most")) | (F.col("short") != F.col("long"))
-    first = first.select("address", F.col("first.record").alias("first_record"), F.col("first.page_id").alias("first_page"), F.when(clash, F.raise_error(F.lit("two payloads have one address"))).otherwise(F.lit(True)).alias("verified"))
+    first = first.select("address", "copies", F.col("first.record").alias("first_record"), F.col("first.page_id").alias("first_page"), F.when(clash, F.raise_error(F.lit("two payloads have one address"))).otherwise(F.lit(True)).alias("verified"))
 
     records = digests.join(first, "address").filter("verified")
     revisit = (F.col("bytes") >= least_bytes) & (F.col("record") != F.col("first_record"))
@@ -79,17 +89,31 @@ def write(pages: DataFrame, least_bytes: int = 0) -> Archive:
         _line("Content-Length", F.col("bytes").cast("string")),
         F.lit(CRLF),
     )
-    headers = stage(records.select("record", "address", header.cast("binary").alias("header")), "warc-headers")
+    headers = stage(records.select("record", "address", header.cast("binary").alias("header"), "copies"), "warc-headers")
 
     # exactly one source row per address brings its bytes; rows are told apart by their place, as above
     bodies = pages.select(payload.alias("payload")).withColumn("address", F.sha2("payload", 256))
-    payloads = bodies.groupBy("address").agg(F.first("payload").alias("payload"))
-    return Archive(stage(payloads, "warc-payloads"), headers)
+    payloads = bodies.groupBy("address").agg(F.first("payload").alias("payload"), F.count(F.lit(1)).alias("copies"))
+    return Archive(_store(payloads), headers)
+
+
+def _store(payloads: DataFrame) -> DataFrame:
+    """``payloads`` written below the shared folder in buckets by address, as a catalog table."""
+    spark = payloads.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"warc_payloads_{uuid.uuid4().hex[:12]}"
+    payloads.write.bucketBy(buckets, "address").sortBy("address").option("path", work_dir(spark, "warc-payloads")).saveAsTable(name)
+    return spark.table(name)
 
 
 def read(archive: Archive) -> DataFrame:
     """(record, warc): every record of the archive, byte for byte."""
-    both = archive.headers.join(archive.payloads, "address")
+    shares = F.ceil(F.col("copies") / SHARE).cast("int")
+    often = F.col("copies") > SHARE
+    few = archive.headers.filter(~often).join(archive.payloads.filter(~often).drop("copies"), "address")
+    spread = archive.payloads.filter(often).withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("copies")
+    many = archive.headers.filter(often).withColumn("_share", F.pmod(F.xxhash64("record"), shares)).join(spread, ["address", "_share"])
+    both = few.select("record", "header", "payload").unionAll(many.select("record", "header", "payload"))
     return both.select("record", F.concat("header", "payload", F.lit(CRLF + CRLF).cast("binary")).alias("warc"))
 
 

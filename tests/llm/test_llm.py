@@ -90,6 +90,25 @@ def test_warc_round_trip(spark):
     assert warc.parse(warc.read(warc.write(spark.createDataFrame([], "page_id long, url string, html string")))).count() == 0
 
 
+def test_warc_of_one_very_common_payload(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARE", 7)
+    html = {k: "common " * 3 if k % 3 == 0 else f"page {k} " + "x" * (k % 50) * 1000 for k in range(300)}
+    pages = spark.createDataFrame([(k, f"http://h/{k}", t, "x", "y") for k, t in html.items()], "page_id long, url string, html string, record string, copies string").repartition(5)
+    archive = warc.write(pages)
+    records = warc.read(archive)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = warc.read(archive)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Bucketed: true" in plan  # the few are read where they lie
+    got = {r.page_id: r for r in warc.parse(records).collect()}
+    assert len(got) == 300 and archive.payloads.count() == 201
+    for k, t in html.items():
+        first = k == 0 or k % 3
+        assert (got[k].payload_bytes, got[k].record_type, got[k].refers_to) == (len(t), "response" if first else "revisit", None if first else 0)
+    assert sorted(bytes(r.warc)[-4 - len(html[1]) : -4].decode() for r in records.collect() if b"urn:page:1>" in bytes(r.warc)[:80]) == [html[1]]
+
+
 def test_url_filter_in_time(spark):
     entries = spark.createDataFrame([("l", "domain", "b.c", True, 10), ("l", "domain", "b.c", True, 10), ("l", "domain", "b.c", False, 20), ("m", "path", "a.b.c/x/", True, 15), (None, "host", "a", True, 1)], "list string, kind string, value string, active boolean, at int")
     urls = [("http://u@A.b.C:80/x/y?q", t) for t in (9, 10, 15, 20, None)] + [(None, 15), ("http://zb.c/x/", 15), ("http://zb.c/x/", 15)]
