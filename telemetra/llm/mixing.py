@@ -132,8 +132,10 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 def emit(docs: DataFrame, ordered: bool = True, **params) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as the mix holds it,
     with the columns of ``docs``; ``ordered`` range-sorts it by position."""
-    mixed = mix(docs, **params).filter("copies > 0")
+    # the columns of ``docs`` travel as one, whatever their names; ``mix`` sees what it reads
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", "text", "source")
+    mixed = mix(packed, **params).filter("copies > 0")
     copies = mixed.withColumn("_at", F.explode(F.slice("positions", F.lit(1), F.col("copies"))))
     if ordered:
         copies = copies.repartitionByRange("_at", "_key").sortWithinPartitions("_at", "_key")
-    return copies.select(*docs.columns)
+    return copies.select("_doc.*")

@@ -34,8 +34,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 #: Entries (shingles of a chunk) per partition of the document frequencies, about.
 SHINGLES_PER_PARTITION = 1_500_000
-#: Bytes of text in a chunk, or a single longer row.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text in a chunk, or a single longer row, and bytes hashed at a time.
+CHUNK_BYTES, HASH_BYTES = 2 << 20, 1 << 18
 _TABLE_BITS = 16
 _BLOCK = 1 << 14
 _SEED = 20240607
@@ -48,14 +48,14 @@ def _sampling_tables() -> list[np.ndarray]:
     share them draw alike, the samples are told apart by the whole hash."""
     if not _tables:
         rng, shape = np.random.Generator(np.random.Philox(_SEED)), (1 << _TABLE_BITS, BANDS * ROWS)
-        r = rng.gamma(2.0, size=shape).astype(np.float32)
-        _tables.extend([r, np.log(rng.gamma(2.0, size=shape)).astype(np.float32), rng.random(shape, np.float32), rng.random(shape, np.float32)])
+        r, c = (rng.standard_gamma(2.0, size=shape, dtype=np.float32) for _ in range(2))
+        _tables.extend([r, np.log(c, out=c), rng.random(shape, np.float32), rng.random(shape, np.float32)])
     return _tables
 
 
 def document_shingles(chunk: textnum.Chunk) -> tuple[list[tuple[np.ndarray, np.ndarray]], textnum.Words]:
     """For each document its distinct shingles, sorted, and their counts; and the words."""
-    w = textnum.words(chunk, textnum.ALNUM, textnum.LOWER)
+    w = textnum.words(chunk, textnum.ALNUM, textnum.LOWER, HASH_BYTES)
     sh, at = textnum.shingles(w, K)
     return [np.unique(sh[at[d] : at[d + 1]], return_counts=True) for d in range(chunk.n)], w
 
@@ -281,11 +281,13 @@ def across(members: DataFrame) -> DataFrame:
     of the two is not linked to the leader, and only the few members short
     enough for one such outsider can meet it.
     """
-    tokens = members.select("key", "root", F.explode("tokens").alias("token"), "bucket").withColumn("token", F.xxhash64("bucket", "token")).drop("bucket")
+    tokens = members.select("key", "root", "n", "weight", F.explode("tokens").alias("token"), "bucket").withColumn("token", F.xxhash64("bucket", "token")).drop("bucket")
     shared = tokens.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token")
     tokens = tokens.join(shared, "token", "left_semi")
     x, y = tokens.alias("x"), tokens.alias("y")
-    by_token = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")))
+    # no similarity exceeds the ratio of the sizes, plain or weighted
+    near = lambda c: F.least(f"x.{c}", f"y.{c}") >= F.lit(SIMILARITY * 0.9999) * F.greatest(f"x.{c}", f"y.{c}")
+    by_token = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & (near("n") | near("weight")))
     by_token = by_token.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
 
     reach = (1 + SIMILARITY) / SIMILARITY * 1.0001
@@ -301,8 +303,13 @@ def across(members: DataFrame) -> DataFrame:
     return by_token.union(by_size).distinct()
 
 
-def links(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
-    """(a, b): verified links that connect all similar texts found."""
+def linked_texts(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
+    """(node, root): the component of every text that a verified link joins to another.
+
+    The links of the stars settle most components; what is left to compare
+    then links components, not texts, so the second search is over their
+    roots alone.
+    """
     entries = rows.select("key", (F.col("weight") / F.col("n")).alias("rarity"), F.explode("bands").alias("bucket")).distinct()
     buckets = entries.groupBy("bucket").agg(F.min(F.struct("rarity", "key")).alias("leader"), F.min("key").alias("k0"), F.max("key").alias("k1")).filter("k0 <> k1").select("bucket", F.col("leader.key").alias("first"))
     members = stage(entries.join(buckets, "bucket").select("bucket", "first", "key"), "members")
@@ -316,7 +323,16 @@ def links(docs: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
     unsettled = labelled.select("bucket", "first", "key", "root").join(mixed, "bucket", "left_semi")
     cross = across(against_leader(unsettled, texts, n)).join(star, ["a", "b"], "left_anti")
-    return linked.union(verify(stage(cross, "candidates"), texts, n))
+    late = verify(stage(cross, "candidates"), texts, n)
+    if late.isEmpty():
+        return roots
+    roots = stage(roots, "roots")
+    ends = late.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    end = lambda x: ends.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    merged = components(late.join(end("a"), "a").join(end("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    merged = merged.select(F.col("node").alias("root"), F.col("root").alias("merged"))
+    # texts that only a late link joins to another have no root yet
+    return roots.union(ends.filter("node = root")).distinct().join(merged, "root", "left").select("node", F.coalesce("merged", "root").alias("root"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -331,7 +347,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     n, words = corpus_size(docs)
     rows = signatures(docs, n, words)
-    roots = components(links(docs, rows, n))
+    roots = linked_texts(docs, rows, n)
     rows = rows.select("doc_id", "row", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("class_size"))
     out = rows.join(best, "root")
@@ -340,8 +356,9 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class, its columns unchanged."""
-    kept = classes(docs).filter("kept").select(F.col("doc_id").alias("_kept"), F.col("key").alias("_key"))
-    rows = docs.withColumn("_key", _key())
-    rows = rows.join(kept, (rows["_key"] == kept["_key"]) & rows["doc_id"].eqNullSafe(kept["_kept"])).select(*[rows[c] for c in docs.columns], rows["_key"])
+    kept = classes(docs.select("doc_id", "text")).filter("kept").select(F.col("doc_id").alias("_kept"), F.col("key").alias("_kept_key"))
+    # the columns of ``docs`` travel as one, whatever their names
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").alias("_id"), _key().alias("_key"))
+    rows = rows.join(kept, (rows["_key"] == kept["_kept_key"]) & rows["_id"].eqNullSafe(kept["_kept"])).select("_doc", "_id", "_key")
     # rows equal in id and text are one document; the join has brought them together
-    return rows.dropDuplicates(["_key", "doc_id"]).select(*docs.columns)
+    return rows.dropDuplicates(["_key", "_id"]).select("_doc.*")
