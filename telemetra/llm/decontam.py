@@ -11,7 +11,8 @@ window and item.
 A similar window shares a shingle with its item, so windows are fingerprinted
 only where they hold a shingle of some item; this loses no window that could
 be verified.  Texts are worked off where they are: nothing is shuffled.  The
-benchmark is the query set and is sent to the tasks in blocks of bounded size.
+benchmark is the query set and is sent to the tasks in blocks of bounded size;
+one pass over the texts goes through all blocks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ SIMILARITY = 0.8
 RADIUS = 15
 BLOCKS, BLOCK_BITS = 4, 16
 ITEMS_PER_BLOCK = 1000
+#: Indexes of blocks that a task holds at a time (about 12 MB each).
+INDEXES_HELD = 4
 _SEED_BITS = 20
 _BITS = np.arange(64, dtype=np.uint64)
 
@@ -105,7 +109,7 @@ class Index:
         for block in range(BLOCKS):
             value = self.block(self.print, block)
             key = (value[:, None] ^ masks).ravel()
-            item = np.repeat(np.arange(len(value)), len(masks))
+            item = np.repeat(np.arange(len(value), dtype=np.int32), len(masks))
             order = np.argsort(key, kind="stable")
             self.tables.append((np.searchsorted(key[order], np.arange((1 << BLOCK_BITS) + 1)), item[order]))
 
@@ -161,45 +165,80 @@ class Index:
                             best[item] = max(best.get(item, (-1.0,)), (sim, -far, -s, size))
         return [(item, -s, size, sim, -far) for item, (sim, far, s, size) in sorted(best.items())]
 
-    def hits(self, texts: pa.Array) -> Iterator[tuple[int, tuple[int, int, int, float, int]]]:
-        for c in textnum.chunks(texts):
-            w, all_words = texts_of(c)
-            doc = textnum.documents_of(w.offsets)
-            places: dict[int, dict[int, np.ndarray]] = {}
-            for k in self.seeds:
-                shingle, _ = all_words.shingles(k)
-                at = self.seeded(shingle, k)
-                at = at[doc[at] == doc[at + k - 1]]
-                for d in np.unique(doc[at]).tolist():
-                    places.setdefault(d, {})[k] = at[doc[at] == d] - w.offsets[d]
-            for d in sorted(places):
-                own = slice(w.offsets[d], w.offsets[d + 1])
-                for hit in self.search(Text(all_words.hash[own], all_words.size[own]), places[d]):
-                    yield c.first + d, hit
+    def hits(self, c: textnum.Chunk, w: textnum.Words, all_words: Text) -> Iterator[tuple[int, tuple[int, int, int, float, int]]]:
+        """(row, hit) for the rows of a chunk with these words."""
+        doc = textnum.documents_of(w.offsets)
+        places: dict[int, dict[int, np.ndarray]] = {}
+        for k in self.seeds:
+            shingle, _ = all_words.shingles(k)
+            at = self.seeded(shingle, k)
+            at = at[doc[at] == doc[at + k - 1]]
+            for d in np.unique(doc[at]).tolist():
+                places.setdefault(d, {})[k] = at[doc[at] == d] - w.offsets[d]
+        for d in sorted(places):
+            own = slice(w.offsets[d], w.offsets[d + 1])
+            for hit in self.search(Text(all_words.hash[own], all_words.size[own]), places[d]):
+                yield c.first + d, hit
 
 
 HIT = "item_id: bigint, start_word: bigint, n_words: bigint, similarity: double, distance: bigint"
+_held: dict[int, tuple[Broadcast, Index]] = {}
+
+
+def blocks(benchmark: DataFrame, items_per_block: int = ITEMS_PER_BLOCK) -> list[Broadcast]:
+    """The benchmark (item_id, text), packed by the tasks of one job into
+    blocks of about ``items_per_block`` items, each broadcast.
+
+    The benchmark is the query set: all of its texts, and nothing of the
+    documents, pass through the driver, a block at a time.
+    """
+
+    def packed(batches):
+        own = [b for b in batches if b.num_rows]
+        if own:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, own[0].schema) as out:
+                for b in own:
+                    out.write_batch(b)
+            yield pa.RecordBatch.from_pydict({"block": [sink.getvalue().to_pybytes()]})
+
+    n = max(1, -(-benchmark.count() // items_per_block))
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").repartition(n).mapInArrow(packed, "block binary")
+    sc = benchmark.sparkSession.sparkContext
+    return [sc.broadcast(bytes(r.block)) for r in rows.toLocalIterator()]
+
+
+def index_of(block: Broadcast) -> Index:
+    t = pa.ipc.open_stream(block.value).read_all()
+    return Index(list(zip(t["item_id"].to_pylist(), t["text"].to_pylist())))
 
 
-def blocks(benchmark: DataFrame, items_per_block: int = ITEMS_PER_BLOCK) -> Iterator[Index]:
-    """The benchmark (item_id, text) in blocks of about ``items_per_block`` items."""
-    n = -(-benchmark.count() // items_per_block)
-    for b in range(n):
-        rows = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).select("item_id", "text").collect()
-        index = Index([(r.item_id, r.text) for r in rows])
-        if index.ids:
-            yield index
+def indexes(found_in: list[Broadcast]) -> Iterator[list[Index]]:
+    """The blocks' indexes, ``INDEXES_HELD`` at a time; as few as that are kept for the next batch."""
+    for i in range(0, len(found_in), INDEXES_HELD):
+        group = found_in[i : i + INDEXES_HELD]
+        if len(found_in) > INDEXES_HELD:
+            yield [index_of(b) for b in group]
+            continue
+        if not all(id(b) in _held for b in group):
+            _held.clear()
+            _held.update({id(b): (b, index_of(b)) for b in group})
+        yield [_held[id(b)][1] for b in group]
 
 
-def found(index: Index):
-    """A Column function: the text's hits as an array of structs."""
+def found(found_in: list[Broadcast]):
+    """A Column function: the text's hits in all blocks as an array of structs, items in order."""
 
     @F.arrow_udf(f"array<struct<{HIT}>>")
     def searched(texts: pa.Array) -> pa.Array:
         names = [f.split(":")[0] for f in HIT.split(", ")]
         out: list[list[dict]] = [[] for _ in range(len(texts))]
-        for d, (item, *rest) in index.hits(texts):
-            out[d].append(dict(zip(names, (index.ids[item], *rest))))
+        for group in indexes(found_in):
+            for c in textnum.chunks(texts):
+                read = texts_of(c)
+                for index in group:
+                    for d, (item, *rest) in index.hits(c, *read):
+                        out[d].append(dict(zip(names, (index.ids[item], *rest))))
         kind = pa.list_(pa.struct([(n, pa.float64() if n == "similarity" else pa.int64()) for n in names]))
         return pa.array(out, kind)
 
@@ -216,17 +255,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, items_per_block: int = I
     have all of its words.  A text shorter than an item is one window.  NULL
     and empty texts hold no item, items without words are held by none.
     Repeated rows and repeated items are reported one by one; an empty table
-    on either side gives no rows.
+    on either side gives no rows.  ``docs`` are read once, however many items
+    there are.
     """
-    none = F.lit(None).cast(f"struct<{HIT}>")
-    out = docs.filter(F.lit(False)).select("doc_id", none.alias("h"))
-    for index in blocks(benchmark, items_per_block):
-        out = out.union(docs.select("doc_id", F.explode(found(index)(F.col("text"))).alias("h")))
-    return out.select("doc_id", "h.*")
+    return docs.select("doc_id", F.explode(found(blocks(benchmark, items_per_block))(F.col("text"))).alias("h")).select("doc_id", "h.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
-    for index in blocks(benchmark, items_per_block):
-        docs = docs.filter(F.size(found(index)(F.col("text"))) == 0)
-    return docs
+    return docs.filter(F.size(found(blocks(benchmark, items_per_block))(F.col("text"))) == 0)

@@ -210,6 +210,18 @@ def test_decontamination_against_brute_force(spark):
     assert decontam.decontaminate(planted, items).count() <= 4 and decontam.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_reads_the_documents_once(spark, monkeypatch):
+    docs, items = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    assert len(decontam.blocks(items, 4)) >= 8
+    out = decontam.contaminated(docs, items, items_per_block=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("ArrowEvalPython") == 1 and "Union" not in plan
+    whole = sorted(map(tuple, decontam.contaminated(docs, items).collect()))
+    assert whole and sorted(map(tuple, out.collect())) == whole
+    monkeypatch.setattr(decontam, "INDEXES_HELD", 100)  # all blocks are held from batch to batch
+    assert sorted(map(tuple, decontam.contaminated(docs, items, items_per_block=4).collect())) == whole
+
+
 def test_lm_score_against_brute_force(spark, odd):
     docs = [(r[0], r[1]) for r in ODD] + [(20, "a b a b c"), (21, "a b d"), (22, "a b d")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
