@@ -176,7 +176,9 @@ def register_inferred_table(
     must agree with them); a record's field of such a name gives way to the
     folder's.  ``fields`` is the result of :func:`inferred_fields`; only that
     field list reaches the driver, never the records.  Readers see the old
-    schema or the new one, never neither.
+    schema or the new one, never neither.  Records in JSON can be read under
+    every wider type; of typed files (``fmt``) Spark widens less, and a read
+    fails where it does not.
     """
     folders = folder_columns(spark, location)
     if partition_by is not None and folders and list(partition_by) != list(folders):

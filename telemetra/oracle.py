@@ -135,16 +135,25 @@ FROM cleaned"""
         for i, c, t in cols
     )
     sql["clean_telemetry_keyed"] = _with(TELEMETRY, CLEANED) + _imputed("cleaned")
-    sql["clean_telemetry_dedup"] = _with(
-        TELEMETRY,
-        """latest AS (
+
+    def clean_latest(source: str, *ctes: str) -> str:
+        latest = f"""latest AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id, event_ts ORDER BY event_id DESC) AS rn
-    FROM telemetry WHERE device_id IS NOT NULL AND event_ts IS NOT NULL) d
-  WHERE rn = 1)""",
-        f"""cleaned_latest AS (SELECT * FROM latest WHERE {NULLS} <= 2)""",
-    ) + _imputed("cleaned_latest")
-    sql["clean_telemetry"] = sql["clean_telemetry_dedup"]
+    FROM {source} WHERE device_id IS NOT NULL AND event_ts IS NOT NULL) d
+  WHERE rn = 1)"""
+        kept = f"cleaned_latest AS (SELECT * FROM latest WHERE {NULLS} <= 2)"
+        return _with(TELEMETRY, *ctes, latest, kept) + _imputed("cleaned_latest")
+
+    sql["clean_telemetry"] = clean_latest("telemetry")
+    sql["clean_telemetry_dedup"] = clean_latest(
+        "sent",
+        """sent AS (
+  SELECT * FROM telemetry UNION ALL
+  SELECT event_id + 1000000000, device_id, event_ts, CASE WHEN event_id % 9 <> 0 THEN temperature + 1000 END,
+    CASE WHEN event_id % 9 <> 0 THEN pressure + 1000 END, CASE WHEN event_id % 9 <> 0 THEN humidity + 1000 END
+  FROM telemetry WHERE humidity > 101)""",
+    )
     sql["clean_telemetry_inclusive"] = _with(
         TELEMETRY,
         f"""cleaned_inc AS (

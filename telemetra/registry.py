@@ -308,8 +308,14 @@ def q_clean_telemetry_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clean_telemetry_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 for a source that may repeat keys: latest row per key first (A3)."""
-    return _round_readings(clean_telemetry(telemetry(spark, sf_dir), order_by=["event_id"]))
+    """C1 for a source that repeats keys: rows with humidity > 101 were sent again
+    later with other readings, every ninth of them without one; the latest row
+    per key comes first (A3), so a dense row does not outlive a sparse one."""
+    tele = telemetry(spark, sf_dir)
+    again = tele.where(F.col("humidity") > 101)
+    resent = {r: F.when(F.col("event_id") % 9 != 0, F.col(r) + 1000.0) for r in READINGS}
+    again = again.withColumns(resent | {"event_id": F.col("event_id") + 1_000_000_000})
+    return _round_readings(clean_telemetry(tele.unionByName(again), order_by=["event_id"]))
 
 
 def q_clean_telemetry_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
