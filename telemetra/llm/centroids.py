@@ -3,9 +3,9 @@
 Vectors are put in the order of a Hilbert curve through all their components
 and cut into blocks of neighbours.  A block is one row: its vectors packed as
 whole numbers, their box (the least and largest value of each component) and
-their sum.  In every round the distance bounds between box and centroids give
-each block its candidates: a centroid whose nearest possible point is farther
-than another one's farthest is nearest to no vector of the block.  A block with
+their sum.  In every round the bounds of the box on differences of distances give
+each block its candidates: a centroid that is farther than another one wherever
+in the box a vector may lie is nearest to no vector of the block.  A block with
 one candidate is settled by its sum; the vectors of the others are compared
 with the candidates exactly.  All arithmetic is on whole numbers, so a result
 does not depend on the partitioning.
@@ -103,11 +103,19 @@ def blocks_of(rows: DataFrame, dim: int, bits: int = BITS, block: int = BLOCK) -
 
 
 def candidates(low: np.ndarray, high: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """The centroids that can be nearest to some vector of the box."""
+    """The centroids that can be nearest to some vector of the box.
+
+    The difference of the squared distances to two centroids is linear in the
+    vector, so its largest value over the box is the sum of each component's.
+    A centroid is out where another one is nearer even there.  (Comparing one's
+    least with the other's largest distance would bound the same difference
+    far more loosely, as these are taken at different corners.)
+    """
     low, high = low.astype(np.int64), high.astype(np.int64)
-    near = np.maximum(np.maximum(low - centroids, centroids - high), 0)
-    far = np.maximum(np.abs(centroids - low), np.abs(high - centroids))
-    return np.flatnonzero((near * near).sum(axis=1) <= (far * far).sum(axis=1).min())
+    slope = 2 * (centroids[:, None] - centroids[None])
+    square = (centroids * centroids).sum(axis=1)
+    most = square[None] - square[:, None] + np.maximum(slope * low, slope * high).sum(axis=2)
+    return np.flatnonzero(~(most < 0).any(axis=1))
 
 
 def nearest(x: np.ndarray, centroids: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
