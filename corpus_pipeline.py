@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,20 +44,44 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources, each document as often as it holds it; unordered,
-    as the shards that follow have an order of their own.
+    """The mix of sources along their curriculum: each document as often as
+    the mix holds it, range-sorted by training position, so that what is
+    written holds the mix in training order, file after file.
 
     Documents tie in no order (md5 of id and text, repeated rows are
     interchangeable).  A NULL source is one of its own.  NULL and empty texts
     have no words, so the mix has no place for them.
     """
-    return mixing.emit(docs, ordered=False)
+    return mixing.emit(docs)
+
+
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_training_file`` and ``_training_row``: the place of a
+    row in the files that ``docs`` reads.
+
+    A scan takes files in an order of its own; Spark's writers name them by
+    partition (part-N) and by file of the partition (-cN).  Rows that come
+    from no file are written first, which keeps the order they stand in.
+    """
+    try:
+        at = docs.metadataColumn("_metadata")
+        docs.select(at)
+    except AnalysisException:
+        docs = stage(docs, "pipeline-unwritten")
+        at = docs.metadataColumn("_metadata")
+    path = at["file_path"]
+    part, file = (F.lpad(F.regexp_extract(at["file_name"], name, 1), 10, "0") for name in (r"^part-(\d+)", r"-c(\d+)\."))
+    return docs.withColumns({"_training_file": F.concat_ws("/", part, file, path), "_training_row": at["row_index"]})
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and slot; columns of the names that are
-    added are replaced."""
-    return sharding.shard(docs)
+    added are replaced.
+
+    A shard is a sample of the mix by text, of which the copies stay
+    together; its slots follow the training order in which ``mix`` wrote it.
+    """
+    return sharding.shard(in_written_order(docs), order=("_training_file", "_training_row"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from .prefix import SUB, ZONE, prefix_sums
 
 LAW = "bytes"
+#: Rows of one file that are sorted together, when a shard's rows keep an order of files and rows.
+BLOCK = 4096
 
 
-def shard(docs: DataFrame, n_shards: int = 24, overhead: int = 8) -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 24, overhead: int = 8, order: tuple[str, str] | None = None) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, any other columns) with its shard.
 
     Adds ``size`` (UTF-8 bytes of the text plus ``overhead``; a NULL text has
@@ -26,8 +28,13 @@ def shard(docs: DataFrame, n_shards: int = 24, overhead: int = 8) -> DataFrame:
     cut at equal targets, so shards differ by less than one row's size.
     Slots count from 0 without gaps.  Rows equal in id and text are
     interchangeable; an empty table gives no rows.
+
+    ``order`` names two columns without NULLs, of which no two rows hold the
+    same: a file, and a row's number in it.  The shards are the same, but
+    their slots follow that order.  The two columns are not returned.
     """
     names = ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "_text", "_doc", ZONE, SUB)
+    place = list(order or ())
     rows = docs.drop(*names).withColumns({
         "size": (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(overhead)).cast("long"),
         "text_crc32": F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long"),
@@ -37,17 +44,20 @@ def shard(docs: DataFrame, n_shards: int = 24, overhead: int = 8) -> DataFrame:
     rows = rows.withColumns({ZONE: F.substring("_text", 1, 3), SUB: F.substring("_doc", 1, 2)})
 
     def placed(x: DataFrame) -> DataFrame:
-        x = prefix_sums(x, [], ["_doc", "_text"], {"_before": F.col("size"), "_row": F.lit(1).cast("long")})
+        x = prefix_sums(x, [], ["_doc", "_text", *place], {"_before": F.col("size"), "_row": F.lit(1).cast("long")})
         total = rows.agg(F.sum("size").alias("_total")).scalar()
         return x.withColumn("_total", total).withColumn("shard", F.expr(f"(2 * _before + size) * {n_shards} div (2 * _total)").cast("int"))
 
-    # one row per shard; this branch carries no texts
-    first = placed(rows.select("size", "_text", "_doc", ZONE, SUB)).groupBy("shard").agg(F.min("_row").alias("_first"))
-    out = placed(rows).join(F.broadcast(first), "shard")
-    out = out.withColumns({
-        "slot": F.col("_row") - F.col("_first"),
-        "law": F.lit(LAW),
-        "grown_shard": F.lit(None).cast("int"),
-    })
-    kept = [c for c in docs.columns if c not in names]
+    # neither branch below carries texts
+    light = placed(rows.select("size", "_text", "_doc", ZONE, SUB, *place))
+    if order:
+        file, row = place
+        light = light.withColumns({ZONE: F.col(file), SUB: F.floor(F.col(row) / BLOCK)})
+        light = prefix_sums(light, ["shard"], [row], {"slot": F.lit(1).cast("long")})
+        out = rows.join(light.select(*place, "shard", "slot"), place)
+    else:
+        first = light.groupBy("shard").agg(F.min("_row").alias("_first"))  # one row per shard
+        out = placed(rows).join(F.broadcast(first), "shard").withColumn("slot", F.col("_row") - F.col("_first"))
+    out = out.withColumns({"law": F.lit(LAW), "grown_shard": F.lit(None).cast("int")})
+    kept = [c for c in docs.columns if c not in (*names, *place)]
     return out.select(*kept, "size", "text_crc32", "law", "shard", "slot", "grown_shard")

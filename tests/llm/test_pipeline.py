@@ -207,3 +207,39 @@ def test_mix_and_dedup_columns_as_read(spark):
     docs = spark.createDataFrame([(1, "a b c", "s", 7, "k"), (2, "d e f", "s", 8, "l")], "doc_id long, text string, source string, size long, src string")
     assert {r.size for r in mixing.emit(docs).collect()} <= {7, 8}
     assert sorted(map(tuple, neardup.dedup(docs).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_mix_follows_the_curriculum_into_the_shards(spark):
+    docs = spark.createDataFrame([(i, f"{i} " + "w " * (5 + i % 7), "en", "abc"[min(i % 8, 2)], i) for i in range(900)], "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    at = [(p, r["_key"], r.doc_id, r.source) for r in mixing.mix(docs).filter("copies > 0").collect() for p in r.positions[: r.copies]]
+    want = [i for _, _, i, _ in sorted(at)]
+    assert len(want) > len(set(want)) > 600 and want != sorted(want)
+
+    mixed, path = STAGES["mix"](spark, docs, SF), work_dir(spark, "in-training-order")
+    assert [r.doc_id for r in mixed.collect()] == want
+    mixed.repartitionByRange(3, "doc_id").write.parquet(path + "-other")  # files in another order
+    mixed.write.option("maxRecordsPerFile", 70).parquet(path)
+    read = spark.read.parquet(path)
+    assert len(read.inputFiles()) > 10
+    for frame in (read, mixed):  # from files, and from none
+        rows = STAGES["shards"](spark, frame, SF).collect()
+        assert len(rows) == len(want) and len({(r.shard, r.slot) for r in rows}) == len(rows)
+        of, split = {}, set()
+        for r in rows:
+            split |= {r.doc_id} if of.setdefault(r.doc_id, r.shard) != r.shard else set()
+        assert len(split) < 24
+        for s in range(24):
+            own = sorted((r for r in rows if r.shard == s), key=lambda r: r.slot)
+            assert [r.slot for r in own] == list(range(len(own)))
+            assert [r.doc_id for r in own if r.doc_id not in split] == [i for i in want if of[i] == s and i not in split]
+    again = {(r.doc_id, r.shard) for r in STAGES["shards"](spark, spark.read.parquet(path + "-other"), SF).collect()}
+    assert sum(pair not in {(r.doc_id, r.shard) for r in rows} for pair in again) <= 24  # the order moves slots, not shards
+
+
+def test_shards_keep_columns_named_like_the_files(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", f"own {i}") for i in range(40)], "doc_id long, text string, _metadata string")
+    path = work_dir(spark, "own-metadata")
+    docs.write.parquet(path)
+    for frame in (docs, spark.read.parquet(path)):
+        rows = STAGES["shards"](spark, frame, SF).collect()
+        assert len(rows) == 40 and all(r["_metadata"] == f"own {r.doc_id}" for r in rows)
