@@ -50,7 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents tie in no order (md5 of id and text, repeated rows are
     interchangeable).  A NULL source is one of its own.  NULL and empty texts
-    have no words, so the mix has no place for them.
+    have no words and take none; they come along where they stand.
     """
     return mixing.emit(docs)
 
@@ -60,8 +60,9 @@ def in_written_order(docs: DataFrame) -> DataFrame:
     row in the files that ``docs`` reads.
 
     A scan takes files in an order of its own; Spark's writers name them by
-    partition (part-N) and by file of the partition (-cN).  Rows that come
-    from no file are written first, which keeps the order they stand in.
+    partition (part-N) and by file of the partition (-cN).  A frame over
+    files has to be the plain read of them, as the stages get it.  Rows that
+    come from no file are written first, which keeps the order they stand in.
     """
     try:
         at = docs.metadataColumn("_metadata")
